@@ -1,2 +1,17 @@
-def queries(): return {}
-def oracle_sql(): return {}
+"""All queries of the library outside the optional subpackage."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tesserix.queries import problems
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {f.__name__: f for f in problems.QUERIES}
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(problems.ORACLE)
