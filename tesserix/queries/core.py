@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tesserix.queries import problems
+from tesserix.queries import extraction, extraction_sql, problems
+
+flagship = extraction.flagship
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in problems.QUERIES}
+    return {f.__name__: f for f in (*problems.QUERIES, *extraction.QUERIES)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(problems.ORACLE)
+    return problems.ORACLE | extraction_sql.ORACLE
