@@ -52,9 +52,10 @@ def discover(rows: DataFrame, declared: dict[str, str] | None = None) -> dict[st
     declared = declared or {}
     v = F.col("value")
     rows = rows.where("attribute is not null").select("attribute", F.when(~q.is_placeholder(v), q.plain(v)).alias("value"))
-    # Booleans before integers: a column of yes, no and 1 is no number.
-    order = ("boolean", "integer", "decimal", "date", "quantity")
-    fit = rows.select("attribute", F.col("value").isNotNull().alias("filled"), *[F.coalesce(q.states_quantity(v) if k == "quantity" else CASTS[k](v).isNotNull(), F.lit(False)).alias(k) for k in order])
+    # Booleans before integers: a column of yes, no and 1 is no number; amounts with units of money or time before both.
+    order = ("boolean", "date", "quantity", "integer", "decimal")
+    quantity = q.states_quantity(v) & v.rlike(r"[\p{L}€]")
+    fit = rows.select("attribute", F.col("value").isNotNull().alias("filled"), *[F.coalesce(quantity if k == "quantity" else CASTS[k](v).isNotNull(), F.lit(False)).alias(k) for k in order])
     found = fit.groupBy("attribute").agg(*[F.count_if(k).alias(k) for k in ("filled", *order)]).orderBy("attribute").limit(MAX_ATTRIBUTES + 1).collect()
     if len(found) > MAX_ATTRIBUTES:
         raise ValueError(f"more than {MAX_ATTRIBUTES} attributes; give them as a list or keep the rows long")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-_WS = "[\\s\\x{00A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+"
+_WS = "[\\s\\x{001C}-\\x{001F}\\x{0085}\\x{00A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+"
 
 
 def _norm(x: str) -> str:
