@@ -2,14 +2,37 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 
 def one_chunk(texts) -> pa.Array:
     return texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
 
 
+#: Bytes of text that are turned into code points at a time; a longer text makes a slice of its own.
+SLICE_BYTES = 1_500_000
+
+
+def slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """The array in consecutive slices of bounded size, so that memory follows the slice and not the Arrow batch."""
+    texts = one_chunk(texts)
+    n = len(texts)
+    if texts.nbytes <= SLICE_BYTES or n <= 1:
+        yield texts
+        return
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0), dtype=np.int64))
+    start = 0
+    while start < n:
+        reach = (ends[start - 1] if start else 0) + SLICE_BYTES
+        stop = max(start + 1, int(np.searchsorted(ends, reach, side="right")))
+        yield texts.slice(start, stop - start)
+        start = stop
+
+
 def code_points(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Code points of all texts end to end, and the start of each text (one more at the end); null counts as empty."""
     texts = texts.cast(pa.large_string())

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tesserix.llm.codepoints import arrow_text, code_points, one_chunk, rows_of
+from tesserix.llm.codepoints import arrow_text, code_points, one_chunk, rows_of, slices
 
 _TOP = 0x110000
 #: Pairs of letters that look the same (Latin, Cyrillic) and (Latin, Greek).
@@ -236,18 +236,19 @@ FORM = T.StructType([T.StructField("unified", T.StringType()), T.StructField("ch
 
 @F.arrow_udf(FORM)
 def _unify(texts: pa.Array) -> pa.Array:
-    return unify_array(texts)
+    return pa.concat_arrays([unify_array(part) for part in slices(texts)])
 
 
 @F.arrow_udf(T.BooleanType())
 def _differs(texts: pa.Array) -> pa.Array:
     """Only whether the one form differs: nothing is written back."""
-    texts = one_chunk(texts)
-    at = _candidates(texts)
-    cps, starts = code_points(texts.take(pa.array(at)))
-    flags = np.zeros(len(texts), dtype=bool)
-    flags[at] = unify_points(cps, starts)[2]
-    return pa.array(flags)
+    parts = []
+    for part in slices(texts):
+        at = _candidates(part)
+        flags = np.zeros(len(part), dtype=bool)
+        flags[at] = unify_points(*code_points(part.take(pa.array(at))))[2]
+        parts.append(flags)
+    return pa.array(np.concatenate(parts))
 
 
 def unify_text(df: DataFrame, text: str, out: str = "form") -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tesserix.llm.codepoints import code_points, one_chunk, rows_of
+from tesserix.llm.codepoints import code_points, one_chunk, rows_of, slices
 
 #: (encoding the bytes were wrongly read with, encoding they were written in)
 CODECS = (
@@ -327,12 +327,12 @@ def repair_array(texts: pa.Array) -> pa.StructArray:
 
 @F.arrow_udf(REPAIR)
 def _repair(texts: pa.Array) -> pa.Array:
-    return repair_array(texts)
+    return pa.concat_arrays([repair_array(part) for part in slices(texts)])
 
 
 @F.arrow_udf(T.BooleanType())
 def _garbled(texts: pa.Array) -> pa.Array:
-    return repair_array(texts).field("garbled").fill_null(False)
+    return pa.concat_arrays([repair_array(part).field("garbled").fill_null(False) for part in slices(texts)])
 
 
 def is_garbled(text: Column) -> Column:
