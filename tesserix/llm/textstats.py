@@ -19,15 +19,17 @@ text has zero counts and no label; ties go to prose.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tesserix.llm.codepoints import code_points
+from tesserix.llm.codepoints import code_points, slices
 
 WINDOW = 400
 #: Most labelled documents that a profile set is fitted on.
@@ -36,6 +38,8 @@ MAX_LABELLED = 5_000
 RADIUS = 0.05
 #: A stretch further than this from every prose profile is not prose, whatever else is near.
 FAR = 0.15
+#: A stretch further than this from every profile is like nothing labelled: junk.
+LOST = 0.4
 #: A group this close to a heavier one of another label takes its label: single wrong labels make no profile.
 NEAR = 0.11
 LABELS = ("prose", "list", "table", "junk")
@@ -239,16 +243,22 @@ def jensen_shannon(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return out
 
 
-def fit_profiles(texts: list[str], labels: list[str], common: list[str]) -> dict:
-    """Profiles from labelled documents; driver-side, over a bounded sample."""
-    table = np.sort(word_hash(sorted(set(common))))
-    if not texts:
-        return {"common": table, "means": np.zeros((0, N_FEATURES)), "labels": []}
-    m = measure(pa.array(texts, pa.string()), table)
-    dist = distributions(m["features"])
-    own = np.array([LABELS.index(x) if x in LABELS else 3 for x in labels])[m["owner"]]
-    keep = m["chars"] >= 20
-    dist, own, weight = dist[keep], own[keep], m["chars"][keep].astype(float)
+def stretches(texts: pa.Array, common: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text index, characters, distribution) of every stretch worth comparing."""
+    owners, chars, dists = [], [], []
+    first = 0
+    for part in slices(texts):
+        m = measure(part, common)
+        keep = m["chars"] >= 20
+        owners.append(m["owner"][keep] + first)
+        chars.append(m["chars"][keep])
+        dists.append(distributions(m["features"][keep]))
+        first += len(part)
+    return np.concatenate(owners), np.concatenate(chars), np.concatenate(dists)
+
+
+def fit_profiles(dist: np.ndarray, own: np.ndarray, weight: np.ndarray, table: np.ndarray) -> dict:
+    """Profiles from the distributions, label numbers and sizes of labelled stretches."""
     # Groups by divergence: the heaviest stretch that is left leads, those near it follow; then once more around the means.
     order = np.argsort(-weight, kind="stable")
     dist, own, weight = dist[order], own[order], weight[order]
@@ -295,7 +305,7 @@ def assign(m: dict, profiles: dict, n: int) -> tuple[np.ndarray, np.ndarray]:
     prose = names == 0
     to_prose = d[:, prose].min(axis=1) if prose.any() else np.full(len(d), 1.0)
     own = names[d.argmin(axis=1)]
-    own = np.where((own == 0) & (to_prose > FAR), 3, own)
+    own = np.where((own == 0) & (to_prose > FAR) | (d.min(axis=1) > LOST), 3, own)
     held = np.zeros((n, 4))
     np.add.at(held, (m["owner"], own), m["chars"])
     total = held.sum(axis=1)
@@ -323,11 +333,28 @@ def _struct(texts: pa.Array, profiles: dict) -> pa.StructArray:
 
 
 def profiles_from(docs: DataFrame, labels: DataFrame, common: DataFrame, max_labelled: int = MAX_LABELLED) -> dict:
-    """Fits the profiles on at most `max_labelled` labelled documents (the lowest ids by hash, so the sample is the same each time)."""
-    sample = labels.select("doc_id", "label").where("label is not null").dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
-    rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(sample), "doc_id").orderBy("doc_id").collect()
+    """Fits the profiles on at most `max_labelled` labelled documents (the lowest ids by hash, so the sample is the same each time), which bounds what is broadcast.
+
+    The documents are measured where they are; only their stretches' distributions come to the driver.
+    """
+    sample = labels.select("doc_id", F.col("label").alias("__label")).where("__label is not null").dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
     words = [r[0] for r in common.select("word").where("word is not null").distinct().limit(10_000).collect()]
-    return fit_profiles([r["text"] for r in rows], [r["label"] for r in rows], words)
+    table = np.sort(word_hash(sorted(set(words))))
+
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            owner, chars, dist = stretches(b.column(1), table)
+            place = pa.array(owner, pa.int64())
+            flat = pa.ListArray.from_arrays(pa.array(np.arange(len(owner) + 1, dtype=np.int32) * N_FEATURES), pa.array(dist.ravel(), pa.float64()))
+            yield pa.RecordBatch.from_arrays([b.column(0).take(place), b.column(2).take(place), pa.array(chars, pa.int64()), flat], names=["doc_id", "label", "chars", "dist"])
+
+    rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(sample), "doc_id").select("doc_id", "text", "__label")
+    found = rows.mapInArrow(measured, "doc_id long, label string, chars long, dist array<double>").toArrow()
+    dist = np.asarray(pa.compute.list_flatten(found["dist"]).combine_chunks() if found.num_rows else [], dtype=float).reshape(-1, N_FEATURES)
+    own = np.array([LABELS.index(x) if x in LABELS else 3 for x in found["label"].to_pylist()], dtype=np.int64)
+    # One order whatever the partitions were.
+    order = np.lexsort((*dist.T[::-1], np.asarray(found["doc_id"].to_numpy(), dtype=np.int64)))
+    return fit_profiles(dist[order], own[order], found["chars"].to_numpy().astype(float)[order], table)
 
 
 def text_statistics(docs: DataFrame, text: str, profiles: dict, out: str = "stats") -> DataFrame:
@@ -339,7 +366,7 @@ def text_statistics(docs: DataFrame, text: str, profiles: dict, out: str = "stat
 
     @F.arrow_udf(STATS)
     def stats(texts: pa.Array) -> pa.Array:
-        return _struct(texts, profiles)
+        return pa.concat_arrays([_struct(part, profiles) for part in slices(texts)])
 
     return docs.withColumn(out, stats(F.col(text)))
 
