@@ -84,6 +84,11 @@ def quoted(text: Column) -> Column:
     return F.concat(F.lit("\\Q"), F.replace(text, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
 
 
+def extract(text: Column, pattern: Column, group: int) -> Column:
+    """regexp_extract with a pattern that differs from row to row."""
+    return F.call_function("regexp_extract", text, pattern, F.lit(group))
+
+
 def base_name(name: Column) -> Column:
     """A name without a parenthesis at its end."""
     return F.trim(F.regexp_replace(name, r"\s*\([^()]*\)\s*$", ""))

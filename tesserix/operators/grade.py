@@ -12,6 +12,13 @@ from pyspark.sql import types as T
 CATEGORIES = ("OK_VALUE", "OK_NULL", "OK_MANUAL", "CHECK", "WRONG", "MISS", "MISS_GATE", "FABRICATION", "REJECTED_VS_NULL_KEY", "PARSE_FAILURE")
 
 
+def read_key(key: DataFrame) -> DataFrame:
+    """(program_id, field, expected) of a frozen key; a cell stated twice fails the job rather than picking one."""
+    rows = key.groupBy("program_id", "field").agg(F.max("expected").alias("expected"), F.count("*").alias("n"))
+    single = F.when(F.col("n") > 1, F.raise_error(F.concat(F.lit("stated twice: "), "program_id", F.lit(" "), "field")).cast("string")).otherwise(F.col("expected"))
+    return rows.select("program_id", "field", single.alias("expected"))
+
+
 def category(expected: Column, status: Column, matches: Column) -> Column:
     """The decision table of a key cell against a status; null for an unknown status."""
     rejected = status.isin("REJECT_CONTAINMENT", "REJECT_SUPPORT")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tesserix.functions.text import is_placeholder, norm, quoted
+from tesserix.functions.text import extract, is_placeholder, norm, quoted
 
 HEADER_LENGTH = 60
 
@@ -124,17 +124,17 @@ def sectioned_fees(lines: DataFrame, sections: list[tuple[str, str, bool]], alia
 
 def near_section(text: Column, section: Column, value_pattern: str, window: int = 120) -> Column:
     """The first value within `window` characters after a section's pattern, in a normed text."""
-    found = F.regexp_extract(text, F.concat(F.lit("(?s)(?:"), section, F.lit(f").{{0,{window}}}?({value_pattern})")), 1)
+    found = extract(text, F.concat(F.lit("(?s)(?:"), section, F.lit(f").{{0,{window}}}?({value_pattern})")), 1)
     return F.when(found != "", norm(found))
 
 
 def clause_of_row(layout: Column, alias: Column, row_template: str, group: int, clause_template: str | None = None, pick: str | None = None) -> Column:
     """A row found by an alias in a layout text; with a clause template, the bullet of the clause it names that holds `pick`, or its first."""
-    row = F.regexp_extract(layout, _filled(row_template, alias, "(?ms)"), group)
+    row = extract(layout, _filled(row_template, alias, "(?ms)"), group)
     row = F.when(row != "", norm(row))
     if clause_template is None:
         return row
-    clause = F.regexp_extract(layout, _filled(clause_template, alias, ""), 1)
+    clause = extract(layout, _filled(clause_template, alias, ""), 1)
     bullets = F.filter(F.transform(F.split(clause, r"\n?\s*-\s+"), norm), lambda x: x != "")
     chosen = F.try_element_at(F.filter(bullets, lambda x: F.contains(x, F.lit(pick))), F.lit(1)) if pick else F.lit(None)
     return F.coalesce(F.when(clause != "", F.coalesce(chosen, F.try_element_at(bullets, F.lit(1)))), row)
@@ -146,3 +146,27 @@ def _filled(template: str, alias: Column, flags: str) -> Column:
     for p in parts[1:]:
         out += [quoted(alias), F.lit(p)]
     return F.concat(*out)
+
+
+def sentence_value(text: Column, pattern: str, group: str, alias: Column, pad: int = 40) -> Column:
+    """struct(value, segment) of a named group in the sentence a pattern finds; {alias} stands for the programme.
+
+    The text is searched as it is.  Named groups are compiled to numbers on the
+    driver, since the JVM writes them differently.
+    """
+    import re
+
+    names = re.compile(pattern.replace("{alias}", "x")).groupindex
+    if group not in names:
+        raise ValueError(f"the pattern has no group {group}")
+    plain = re.sub(r"\(\?P<\w+>", "(", pattern)
+    found = extract(text, _filled(plain, alias, ""), names[group])
+    around = extract(text, F.concat(F.lit(f"(?s)(.{{0,{pad}}}(?:"), _filled(plain, alias, ""), F.lit(f").{{0,{pad}}})")), 1)
+    return F.when(found != "", F.struct(norm(found).alias("value"), norm(around).alias("segment")))
+
+
+def tail_of_match(text: Column, pattern: str, alias: Column, size: int = 400) -> Column:
+    """struct(value, segment): group 1 of a pattern, and the last `size` characters of what it matched."""
+    found = extract(text, _filled(pattern, alias, ""), 1)
+    whole = extract(text, _filled(pattern, alias, ""), 0)
+    return F.when(found != "", F.struct(norm(found).alias("value"), F.substring(whole, F.greatest(F.length(whole) - size + 1, F.lit(1)), F.lit(size)).alias("segment")))

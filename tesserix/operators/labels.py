@@ -11,7 +11,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tesserix.functions.text import base_name, norm, quoted
+from tesserix.functions.text import base_name, extract, norm, quoted
 
 MAX_SPAN = 400
 # Label patterns per field, in order of preference; group 1 is the value.
@@ -105,13 +105,13 @@ def language_from_name(name: Column, text: Column) -> Column:
 def degree_from_name(name: Column, text: Column) -> Column:
     """The degree of a sentence that names the programme; null where there is none."""
     sentence = r'(?iu)придобиват\s+(?:образователната|образователно-квалификационна)\s+степен\s*[„"«“]\s*([а-я][а-я ]*?)\s*[“”"»]\s*по\s+специалност(?:та)?\s*[„"«“]?\s*'
-    found = F.regexp_extract(text, F.concat(F.lit(sentence), quoted(name)), 1)
+    found = extract(text, F.concat(F.lit(sentence), quoted(name)), 1)
     return F.when(found != "", norm(found))
 
 
 def anchor_value(text: Column, pattern: Column, names_program: Column | None = None) -> Column:
     """Group 1 of a configured pattern, on pages that name the programme where that is asked."""
-    found = F.regexp_extract(text, pattern, 1)
+    found = extract(text, pattern, 1)
     ok = found != ""
     return F.when(ok if names_program is None else ok & names_program, norm(found))
 

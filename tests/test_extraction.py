@@ -243,3 +243,41 @@ def test_configs(spark, tmp_path):
 def test_document_plan(spark):
     df = spark.createDataFrame([("p", "N", "http://WWW.x.example:80/a/", ["https://x.example/b"], "https://x.example/a", None)], "program_id string, name string, page string, extra_pages array<string>, adm_page string, tuition_page string")
     assert {(r["address"], r["route"]) for r in resolve.document_plan(df).collect()} == {("x.example/a", "page"), ("x.example/b", "extra_pages")}
+
+
+def test_sentences(spark):
+    text = "Право (задочно) срок 4 години.\nЧл. 5\n- изпит по история\n- изпит по право\nТакса за Право: 500 евро"
+    df = spark.createDataFrame([(text, "Право"), ("nothing", "Право"), (None, "x")], "x string, a string")
+    x, a = F.col("x"), F.col("a")
+    got = df.select(
+        grid.sentence_value(x, r"{alias} \([^)]*\) срок (?P<duration>\d+ години)", "duration", a)["value"].alias("duration"),
+        grid.tail_of_match(x, r"{alias}[^:]*: (\d+ евро)", a, 8).alias("tail"),
+        grid.near_section(t.norm(x), F.lit("Такса за"), r"\d+ евро").alias("near"),
+        grid.clause_of_row(x, a, r"^{alias} \([^)]*\) срок (\d+) години", 1).alias("row"),
+        grid.clause_of_row(x, a, r"^{alias} \([^)]*\) срок (\d+) години", 1, r"(?s)Чл\. 5\n(.*?)\nТакса", "право").alias("clause"),
+    ).collect()
+    assert got[0]["duration"] == "4 години" and got[0]["tail"]["value"] == "500 евро" and len(got[0]["tail"]["segment"]) == 8
+    assert got[0]["near"] == "500 евро" and got[0]["row"] == "4" and got[0]["clause"] == "изпит по право"
+    assert got[1]["duration"] is None and got[1]["tail"] is None and got[2]["near"] is None
+
+
+def test_key_cells_are_stated_once(spark):
+    schema = "program_id string, field string, expected string"
+    assert grade.read_key(spark.createDataFrame([("p", "f", None)], schema)).first()["expected"] is None
+    with pytest.raises(Exception, match="stated twice"):
+        grade.read_key(spark.createDataFrame([("p", "f", "1"), ("p", "f", "2")], schema)).collect()
+
+
+def test_command_line(spark, tmp_path):
+    from tesserix.__main__ import main
+
+    spark.createDataFrame([("click", 1.0), ("click", 3.0)], "event_type string, value double").write.parquet(str(tmp_path / "in/events.parquet"))
+    assert main(["event_means", str(tmp_path / "in"), str(tmp_path / "out")]) == 0
+    assert spark.read.parquet(str(tmp_path / "out")).first()["mean"] == 2.0
+
+
+def test_names_and_anchors(spark):
+    said = "Завършилите придобиват образователната степен „магистър“ по специалността „Право (задочно)“ тук"
+    df = spark.createDataFrame([(said, "Право (задочно)", r"степен „(\w+)", "Право (на английски език)")], "x string, n string, p string, m string")
+    r = df.select(labels.degree_from_name(F.col("n"), F.col("x")), labels.anchor_value(F.col("x"), F.lit("степен „([а-я]+)")), labels.anchor_value(F.col("x"), F.lit("степен „([а-я]+)"), F.lit(False)), labels.language_from_name(F.col("m"), F.col("x"))["value"]).first()
+    assert list(r) == ["магистър", "магистър", None, "на английски език"]
