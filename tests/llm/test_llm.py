@@ -301,3 +301,14 @@ def test_profiles(spark):
     assert got[0]["label"] == "prose" and got[103]["chars"] is None and got[104]["chars"] == 0
     empty = textstats.profiles_from(df.where("false"), spark.createDataFrame([], "doc_id long, label string"), spark.createDataFrame([], "word string"))
     assert textstats.structural_profile(df.where("doc_id = 100"), "doc_id", "text", empty).first()["label"] is None
+
+
+def test_held_texts_of_one_address_are_bounded(monkeypatch):
+    pages = [("s", "p1", 0, PAGE.format("A", "x", 1))] + [("s", "p2", k, PAGE.format(f"B{k}", f"y{k}", 1)) for k in range(1, 7)] + [("s", "p3", 7, PAGE.format("C", "z", 1))]
+    rows = [(d, s, p, t, [False] * len(t.split("\n"))) for s, p, d, t in pages]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=["doc", "site", "path", "text", "frequent"])
+    found = []
+    for held in (256, 2):
+        monkeypatch.setattr(boilerplate, "HELD", held)
+        found.append(sorted((r["doc"], r["line_no"]) for b in boilerplate._difference(iter([batch])) for r in b.to_pylist()))
+    assert found[0] == found[1] and {d for d, _ in found[0]} == set(range(8))
