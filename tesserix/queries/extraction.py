@@ -184,11 +184,11 @@ def sectioned_join(spark, sf):
 
 
 def region_spans(spark, sf):
-    """Spans of every page that belong to the programmes it names."""
+    """Spans of every page that belong to each of the programmes configured for it."""
     docs = resolve.latest_artifacts(_artifacts(spark, sf))
     own = table(spark, sf, "programs").select("program_id", "name", resolve.address_key(F.col("page")).alias("address"))
-    siblings = own.groupBy(F.substring_index("address", "/", 1).alias("site")).agg(F.slice(F.array_sort(F.collect_set("name")), 1, 200).alias("siblings"))
-    rows = own.withColumn("site", F.substring_index("address", "/", 1)).join(siblings, "site").join(docs, "address")
+    sharing = own.groupBy("address").agg(F.array_sort(F.collect_set("name")).alias("siblings"))
+    rows = own.join(sharing, "address").join(docs, "address")
     return rows.select("program_id", "artifact_id", F.explode(region.spans("text", "name", "siblings")).alias("s")).select("program_id", "artifact_id", "s.start", "s.end")
 
 

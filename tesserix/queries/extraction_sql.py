@@ -148,6 +148,13 @@ ORACLE = {
       WHERE NOT EXISTS (SELECT 1 FROM verdicts v WHERE lower(trim(verdict)) = 'wrong' AND lower(trim(v.program_id)) = o.program_id AND lower(trim(v.field)) = hits.field)""",
     "gate_verdicts": _GATED + "SELECT entry_id, status, CASE WHEN status = 'REJECT_SUPPORT' THEN array_to_string(missing, ' ') ELSE '' END AS missing FROM g",
     "gate_status_counts": _GATED + "SELECT s.status, count(g.status) AS n FROM (VALUES ('PASS'), ('REJECT_CONTAINMENT'), ('REJECT_SUPPORT'), ('NULL_OK'), ('PARSE_FAILURE')) s(status) LEFT JOIN g ON s.status = g.status GROUP BY s.status",
+    "draft_tiers": f"""WITH k AS (SELECT entry_id, {_form('expected_value')} AS v, {_form('snippet')} AS s FROM answer_key WHERE expected_value IS NOT NULL),
+      x AS (SELECT *, list_transform(regexp_extract_all(v, '\\d[\\d.,]*'), lambda n: regexp_replace(n, '[.,]+$', '')) AS nums, list_filter({_CUR}, lambda c: contains(v, c)) AS curs,
+        list_filter(regexp_extract_all(v, '[\\p{{L}}\\p{{N}}_]{{4,}}'), lambda w: NOT list_contains(['with', 'from'], w)) AS toks FROM k)
+      SELECT entry_id, CASE WHEN s = '' THEN 'HARD' WHEN contains(s, v) THEN 'OK' WHEN len(list_filter(nums, lambda n: NOT contains(s, n))) > 0 THEN 'HARD'
+        WHEN len(curs) > 0 AND len(list_filter(curs, lambda c: contains(s, c))) = 0 THEN 'HARD' WHEN len(toks) > 0 AND len(list_filter(toks, lambda w: contains(s, w))) / len(toks) < 0.5 THEN 'HARD' ELSE 'SOFT' END AS tier FROM x""",
+    "names_program": f"""WITH d AS ({_LATEST}), o AS (SELECT program_id, {_address('page')} AS address, lower(name) AS n, lower(trim(regexp_replace(name, '\\s*\\([^()]*\\)\\s*$', ''))) AS b FROM programs)
+      SELECT program_id, artifact_id FROM o JOIN d USING (address) WHERE regexp_matches(lower(text), '(^|[^\\p{{L}}])(' || regexp_replace(n, '([().+*?])', '\\\\\\1', 'g') || '|' || regexp_replace(b, '([().+*?])', '\\\\\\1', 'g') || ')($|[^\\p{{L}}])')""",
     "values_match": f"""WITH k AS (SELECT entry_id, lower(trim(program_id)) AS p, lower(trim(field)) AS f, {_form('expected_value')} AS e FROM answer_key),
       s AS (SELECT verdict_id, lower(trim(program_id)) AS p, lower(trim(field)) AS f, {_form('shipped_value')} AS s FROM verdicts), j AS (SELECT * FROM k JOIN s USING (p, f) WHERE s <> '')
       SELECT entry_id, verdict_id FROM j WHERE len({_missing('e', 's', '[s]')}) = 0 AND (regexp_matches(e, '\\d') OR len(list_filter({_CUR}, lambda c: contains(e, c))) > 0 OR len({_words('e')}) > 0)""",
