@@ -121,5 +121,20 @@ l AS (
 """
 
 
+_SPACE = "[\\s\\x{0085}\\x{00A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+"
+
+
+def _grams(name: str, key: str) -> str:
+    """Distinct runs of 12 words of a table's texts."""
+    words = f"list_filter(string_split(regexp_replace(regexp_replace(lower(text), '[^\\p{{L}}\\p{{N}}\\s\\x{{00A0}}\\x{{2000}}-\\x{{200A}}\\x{{202F}}\\x{{3000}}]', '', 'g'), '{_SPACE}', ' ', 'g'), ' '), lambda x: x <> '')"
+    return f"(SELECT DISTINCT {key}, array_to_string(w[i:i + 11], ' ') AS gram FROM (SELECT {key}, w, unnest(range(1, len(w) - 10)) AS i FROM (SELECT {key}, {words} AS w FROM {name})))"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"p3_found": _SITE_LINES + "SELECT c.artifact_id, c.line_no FROM c JOIN f ON c.site = f.site AND c.content = f.content"}
+    return {
+        "p3_found": _SITE_LINES + "SELECT c.artifact_id, c.line_no FROM c JOIN f ON c.site = f.site AND c.content = f.content",
+        "p3_cleaned": _SITE_LINES
+        + """, m AS (SELECT l.artifact_id, l.line_no, l.line, f.content IS NOT NULL AS gone FROM l JOIN c ON c.artifact_id = l.artifact_id AND c.line_no = l.line_no LEFT JOIN f ON c.site = f.site AND c.content = f.content)
+          SELECT artifact_id, coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (WHERE NOT gone), '') AS cleaned FROM m GROUP BY artifact_id HAVING bool_or(gone)""",
+        "p8_found": f"SELECT DISTINCT item_id, doc_id FROM {_grams('heldout_items', 'item_id')} a JOIN {_grams('documents', 'doc_id')} b USING (gram)",
+    }
