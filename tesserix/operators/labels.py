@@ -1,7 +1,7 @@
 """Ordered label harvest: the first pattern of a field that a text satisfies gives its value.
 
-Patterns are literals unrolled into one Column expression per field, so a text is
-read once per scan, in the JVM, and later patterns are not tried after a hit.
+Patterns are literals unrolled into Column expressions, so a text is read once per
+scan for all fields, in the JVM.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tesserix.functions.text import base_name, extract, norm, quoted
+from tesserix.functions.text import base_name, extract, norm, quoted, snippet_around
 
 MAX_SPAN = 400
 # Label patterns per field, in order of preference; group 1 is the value.
@@ -61,31 +61,38 @@ LABEL_PATTERNS = {
 }
 
 
-def harvest(text: Column, patterns: Iterable[tuple[str, str]], skip: Column | None = None, max_span: int = MAX_SPAN) -> Column:
-    """struct(label, value, snippet) of the first pattern with a short enough value, null without one.
+def harvest_fields(texts: DataFrame, patterns: dict[str, Iterable[tuple[str, str]]] | None = None, skip: str | None = None, max_span: int = MAX_SPAN) -> DataFrame:
+    """(ref, field, value, segments, method, tier) of the texts (ref, text[, skip]): per field the first pattern with a short enough value.
 
-    `text` is a normed text.  Only a pattern's first match counts: if its value is
-    longer than max_span the next pattern is tried, not the next match.  `skip` is
-    an array of labels not to try.
+    Only a pattern's first match counts: if its value is longer than max_span the
+    next pattern is tried, not the next match.  `skip` names a column of labels not
+    to try.  All fields are read in one pass: every pattern is searched once per
+    text, its match looked up again only where it holds.
     """
-    none = F.lit(None).cast("struct<label:string,value:string,snippet:string>")
-    out = none
-    for label, pattern in reversed(list(patterns)):
-        value = F.regexp_extract(text, pattern, 1)
-        hit = (value != "") & (F.length(value) <= max_span)
-        if skip is not None:
-            hit = hit & ~F.coalesce(F.array_contains(skip, label), F.lit(False))
-        around = F.regexp_extract(text, rf"(?s)(.{{0,90}}(?:{pattern}).{{0,90}})", 1)
-        found = F.struct(F.lit(label).alias("label"), norm(value).alias("value"), norm(around).alias("snippet"))
-        out = F.when(hit, found).otherwise(out)
-    return out
+    every = {f: list(p) for f, p in (patterns or LABEL_PATTERNS).items()}
+    normed = texts.withColumn("__text", norm(F.col("text")))
+    column = {(f, label): f"__{f}_{k}" for f, p in every.items() for k, (label, _) in enumerate(p)}
+    searched = normed.withColumns({column[f, label]: F.regexp_extract("__text", pattern, 1) for f, p in every.items() for label, pattern in p})
+    hits = []
+    for f, p in every.items():
+        out = F.lit(None).cast("struct<field:string,value:string,snippet:string,method:string>")
+        for label, pattern in reversed(p):
+            value = F.col(column[f, label])
+            ok = (value != "") & (F.length(value) <= max_span)
+            if skip is not None:
+                ok = ok & ~F.coalesce(F.array_contains(skip, label), F.lit(False))
+            whole = F.regexp_extract("__text", pattern, 0)
+            at = F.instr(F.col("__text"), whole) - 1
+            around = snippet_around(F.col("__text"), at, at + F.length(whole))
+            out = F.when(ok, F.struct(F.lit(f).alias("field"), norm(value).alias("value"), around.alias("snippet"), F.lit(f"label:{label}").alias("method"))).otherwise(out)
+        hits.append(out)
+    found = searched.select("ref", F.explode(F.filter(F.array(*hits), lambda x: x.isNotNull())).alias("hit"))
+    return found.select("ref", "hit.field", "hit.value", F.array("hit.snippet").alias("segments"), "hit.method", F.lit("G").alias("tier"))
 
 
 def harvest_field(texts: DataFrame, field: str, patterns: Iterable[tuple[str, str]] | None = None, skip: str | None = None) -> DataFrame:
-    """(ref, field, value, segments, method, tier) of the texts (ref, text[, skip array]) where a label of the field hits."""
-    normed = texts.withColumn("__text", norm(F.col("text")))
-    hit = normed.withColumn("hit", harvest(F.col("__text"), patterns or LABEL_PATTERNS[field], F.col(skip) if skip else None)).where("hit is not null")
-    return hit.select("ref", F.lit(field).alias("field"), F.col("hit.value").alias("value"), F.array("hit.snippet").alias("segments"), F.concat(F.lit("label:"), F.col("hit.label")).alias("method"), F.lit("G").alias("tier"))
+    """harvest_fields of one field."""
+    return harvest_fields(texts, {field: patterns or LABEL_PATTERNS[field]}, skip)
 
 
 def without_suppressed(hits: DataFrame, suppressed: DataFrame) -> DataFrame:
@@ -116,4 +123,4 @@ def anchor_value(text: Column, pattern: Column, names_program: Column | None = N
     return F.when(ok if names_program is None else ok & names_program, norm(found))
 
 
-__all__ = ["LABEL_PATTERNS", "anchor_value", "base_name", "degree_from_name", "harvest", "harvest_field", "language_from_name", "without_suppressed"]
+__all__ = ["LABEL_PATTERNS", "anchor_value", "base_name", "degree_from_name", "harvest_field", "harvest_fields", "language_from_name", "without_suppressed"]

@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tesserix.operators import gate as g
-from tesserix.operators.labels import LABEL_PATTERNS, harvest_field
+from tesserix.operators.labels import harvest_fields
 from tesserix.operators.resolve import first_by_rank
 
 
 def harvested(texts: DataFrame, patterns: dict[str, tuple[tuple[str, str], ...]] | None = None) -> DataFrame:
-    """(ref, field, value, segments, method, tier) of all fields over (ref, text)."""
-    every = patterns or LABEL_PATTERNS
-    return reduce(DataFrame.unionByName, [harvest_field(texts, f, p) for f, p in every.items()])
+    """(ref, field, value, segments, method, tier) of all fields over (ref, text), in one pass."""
+    return harvest_fields(texts, patterns)
 
 
 def field_records(texts: DataFrame, patterns: dict[str, tuple[tuple[str, str], ...]] | None = None) -> DataFrame:
