@@ -1,8 +1,8 @@
 """Main body of rendered pages: furniture lines found by nearest-URL page differencing.
 
-Method: pages are range-partitioned and sorted by host and URL path, so that the
-nearest pages by URL stand side by side; the lines of a page and of its nearest
-neighbours with another path are aligned by their longest common subsequence and
+Method: the addresses are sorted by host and URL path in a table of their own,
+which gives each the one before and the one after it on its host; the lines of a
+page and of these neighbours are aligned by their longest common subsequence and
 the lines they share are the evidence for deletion.  Headings and stock
 sentences of the body are shared as well, and boxes hold lines of their own, so
 a check follows: shared lines outside the body's blocks fall, a menu, footer or
@@ -12,11 +12,11 @@ fall only where their wording is that of furniture.
 Lines are compared in their repaired and unified form (mojibake, lookalike)
 with digits masked, so a garbled footer still meets its neighbour's.
 
-No host and no address is held in one task: ranges are cut by host, path and id,
-and a page pairs inside its partition.  Re-renderings of one address never pair
-with each other; they are held once per distinct text while the next address is
-awaited, at most HELD of them, and further ones are compared with the address
-before only.
+No host and no address is held in one task: the neighbours' line keys travel to
+the pages by (site, path), and an address of more than GROUP pages is cut into
+salted groups, each with its own copy of them.  Every page meets both neighbours,
+whatever the partitions are.  Re-renderings of one address never pair with each
+other.
 
 Defined results: null text has no rows; a page without a neighbour is judged by
 its layout and wording alone; a null address is its own host.
@@ -27,9 +27,10 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +38,7 @@ from tesserix.functions.urls import path_of, site_of
 from tesserix.llm.lookalike import unify_text
 from tesserix.llm.mojibake import repair_encoding
 from tesserix.llm.sitelines import LineCounts, count_lines, line_content, line_key
+from tesserix.session import write_once
 
 # The wording of page furniture, Bulgarian and English.
 COOKIE = re.compile(r"(?i)бисквитки.{0,40}(преживяване|сайт)|сайт използва бисквитки|(web)?site uses cookies|партньора? съхранява|partners store data|^бисквитките ни помагат|^cookies help us|^privacy notice\b|^уведомление за поверителност\b")
@@ -47,8 +49,10 @@ FOOTER = re.compile(r"(?i)^©|^(последвайте ни|follow us|всичк
 BOX = re.compile(r"(?i)^(последни новини|вижте още|свързани програми|предстоящи събития|най-четени|още по темата|see also|latest news|related programmes|upcoming events|most read)$")
 READ_MORE = re.compile(r"(?i)^(прочетете повече за |read more on )[^.!?;]+$")
 MONTHS = "януари|февруари|март|април|май|юни|юли|август|септември|октомври|ноември|декември|january|february|march|april|may|june|july|august|september|october|november|december"
-#: Distinct texts of one address that wait for the next address.
+#: Distinct texts of one address whose findings are remembered; a text met again after that is worked out again.
 HELD = 256
+#: Pages of one address that stay together with one copy of its neighbours' lines.
+GROUP = 4096
 #: A dated teaser, cut off before its sentence ends.
 TEASER = re.compile(r"(?i)^\d{1,2}([./]\d{1,2}[./]\d{4}| (" + MONTHS + r")( \d{4})?)( г\.)? \S.*([^.!?:;]|\.\.\.|…|»)$")
 _PAGED = re.compile(r"(?i)^(страница|стр\.|page|p\.) ?\d+ ?(от|of|/) ?\d+$|^[-–—] ?\d+ ?[-–—]$")
@@ -213,46 +217,61 @@ def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         yield from zip(*(c.to_pylist() for c in b.columns), strict=True)
 
 
+def line_keys(text: str) -> list[bytes]:
+    """A digest of each masked line, empty for blank lines."""
+    return [blake2b(x.encode("utf-8", "surrogatepass"), digest_size=12).digest() if x else b"" for x in masked(text)]
+
+
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Appends the line keys to batches of pages."""
+    for b in batches:
+        keys = pa.array([line_keys(x) for x in b.column("text").to_pylist()], pa.list_(pa.binary()))
+        yield pa.RecordBatch.from_arrays([*b.columns, keys], names=[*b.schema.names, "keys"])
+
+
 def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One range partition of (doc, site, path, text, frequent), sorted by site and path."""
+    """Pages (doc, site, path, text, frequent, near) of one partition, those of an address after a row without text that has its neighbours' line keys."""
     schema = pa.schema([("doc", pa.int64()), ("line_no", pa.int32()), ("kind", pa.string())])
     rows: list[tuple] = []
-    before: list[str] | None = None  # masked lines of the previous address, same host
-    plain: dict[str, list[str]] = {}  # masked lines of the current address's texts
-    host = address = None
-    group: dict[tuple, list] = {}  # distinct (text, flags) of the current address
-
-    def flush(after: list[str] | None) -> None:
-        for (text, frequent), docs in group.items():
-            lines = text.split("\n")
-            own = plain.get(text) or masked(text)
-            shared = {i for near in (before, after) if near is not None for i, _ in shared_lines(own, near)}
-            found = furniture(lines, shared, list(frequent))
-            for doc in docs:
-                rows.extend((doc, k + 1, kind) for k, kind in sorted(found.items()))
-
-    for doc, site, path, text, frequent in _pages(batches):
-        if (site, path) != (host, address):
-            mine = masked(text)
-            if group:
-                flush(mine if site == host else None)
-                before = next(iter(plain.values())) if site == host else None
-            group, plain = {}, {text: mine}
-            host, address = site, path
-        elif len(group) >= HELD:
-            kept = next(iter(plain.items()))
-            flush(None)
-            group, plain = {}, dict([kept])
-        group.setdefault((text, tuple(frequent)), []).append(doc)
+    near: list[list[bytes]] = []
+    address = None
+    seen: dict[tuple, list] = {}  # distinct (text, flags) of the current address
+
+    for doc, site, path, text, frequent, *given in _pages(batches):
+        if (site, path) != address:
+            address, near, seen = (site, path), [], {}
+        if text is None:
+            near = given[0]
+            continue
+        flagged = (text, tuple(frequent))
+        if flagged not in seen:
+            if len(seen) >= HELD:
+                seen.clear()
+            own = line_keys(text) if near else []
+            shared = {i for other in near for i, _ in shared_lines(own, other)}
+            seen[flagged] = sorted(furniture(text.split("\n"), shared, frequent).items())
+        rows.extend((doc, k + 1, kind) for k, kind in seen[flagged])
         if len(rows) >= 50_000:
-            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
             rows.clear()
-    if group:
-        flush(None)
     if rows:
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
+def nearest_addresses(addresses: DataFrame) -> DataFrame:
+    """(site, path, step, other): the address before (step -1) and after (step 1) each of the distinct (site, path), on the same site."""
+    placed = write_once(addresses.repartitionByRange("site", "path").withColumn("part", F.spark_partition_id()), "addresses")
+    key = F.struct("site", "path")
+    # A range's first and last address look for their neighbour in the nearest range that isn't empty.
+    edges = placed.groupBy("part").agg(F.min(key).alias("first"), F.max(key).alias("last"))
+    parts = Window.orderBy("part")
+    edges = edges.select("part", F.lag("last").over(parts).alias("edge_before"), F.lead("first").over(parts).alias("edge_after"))
+    inside = Window.partitionBy("part").orderBy("site", "path")
+    both = placed.select("site", "path", "part", F.lag(key).over(inside).alias("before"), F.lead(key).over(inside).alias("after")).join(edges, "part")
+    sides = F.array(F.struct(F.lit(-1).alias("step"), F.coalesce("before", "edge_before").alias("at")), F.struct(F.lit(1).alias("step"), F.coalesce("after", "edge_after").alias("at")))
+    return both.select("site", "path", F.explode(sides).alias("n")).where("n.at.site = site").select("site", "path", "n.step", F.col("n.at.path").alias("other"))
+
+
 def furniture_lines(docs: DataFrame, doc_id: str, text: str, url: str, stamp: str | None = None, counts: LineCounts | None = None) -> DataFrame:
     """(doc, line_no, kind) of every non-blank line outside the main body."""
     counts = counts or count_lines(docs, doc_id, text, url, stamp)
@@ -261,10 +280,17 @@ def furniture_lines(docs: DataFrame, doc_id: str, text: str, url: str, stamp: st
     own = own.withColumn("site", F.coalesce("site", F.concat(F.lit("?"), F.col("doc").cast("string"))))
     flags = F.transform(F.split("text", "\n"), lambda x: F.coalesce(F.array_contains("keys", line_key(line_content(x))), F.lit(False)))
     own = own.join(per_site, "site", "left").withColumn("frequent", flags).drop("keys")
-    # The range exchange comes first: its sampling pass then runs over plain columns, not over the Python stages.
-    own = own.repartitionByRange("site", "path", "doc").sortWithinPartitions("site", "path", "doc")
-    own = unify_text(repair_encoding(own, "text"), "encoding.repaired")
-    return own.select("doc", "site", "path", F.col("form.unified").alias("text"), "frequent").mapInArrow(_difference, FURNITURE)
+    own = unify_text(repair_encoding(own, "text"), "encoding.repaired").select("doc", "site", "path", F.col("form.unified").alias("text"), "frequent")
+    own = write_once(own.mapInArrow(_keyed, T.StructType([*own.schema.fields, T.StructField("keys", T.ArrayType(T.BinaryType()))])), "pages")
+    # One rendering stands for its address; addresses of many pages are few and are cut into groups.
+    there = write_once(own.groupBy("site", "path").agg(F.min_by("keys", "doc").alias("keys"), F.ceil(F.count("*") / GROUP).cast("int").alias("groups")), "renderings")
+    lines = there.select("site", F.col("path").alias("other"), "keys")
+    near = nearest_addresses(there.select("site", "path")).join(lines, ["site", "other"]).groupBy("site", "path").agg(F.array_sort(F.collect_list(F.struct("step", "keys"))).alias("near"))
+    near = near.join(there.select("site", "path", "groups"), ["site", "path"]).select("site", "path", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("salt"), F.col("near.keys").alias("near"))
+    hot = there.where("groups > 1").select("site", "path", "groups")
+    pages = own.drop("keys").join(F.broadcast(hot), ["site", "path"], "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("doc"), "groups").cast("int"), F.lit(0))).drop("groups")
+    rows = pages.unionByName(near, allowMissingColumns=True).repartition("site", "path", "salt").sortWithinPartitions("site", "path", "salt", F.col("text").isNotNull(), "doc")
+    return rows.select("doc", "site", "path", "text", "frequent", "near").mapInArrow(_difference, FURNITURE)
 
 
 def main_body(docs: DataFrame, doc_id: str, text: str, url: str, **how) -> DataFrame:

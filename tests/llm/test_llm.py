@@ -312,3 +312,26 @@ def test_held_texts_of_one_address_are_bounded(monkeypatch):
         monkeypatch.setattr(boilerplate, "HELD", held)
         found.append(sorted((r["doc"], r["line_no"]) for b in boilerplate._difference(iter([batch])) for r in b.to_pylist()))
     assert found[0] == found[1] and {d for d, _ in found[0]} == set(range(8))
+
+
+def test_every_page_of_a_hot_address_meets_both_neighbours(spark, monkeypatch):
+    text = "Topic {0}\nPlaces: {0}; Degree: Master.\nThe module on topic {0} is taught in autumn.\n{1}"
+    rows = [(k, "https://s.example/b", text.format(f"x{chr(65 + k // 26)}{chr(65 + k % 26)}", {0: "Got it", 299: "Settings"}.get(k, f"Room {k}"))) for k in range(300)]
+    rows += [(300, "https://s.example/a", text.format("yA", "Settings")), (301, "https://s.example/c", text.format("yC", "Got it")), (302, "https://r.example/z", text.format("yZ", "Close")), (303, "https://t.example/a", text.format("yT", "Close"))]
+    df = spark.createDataFrame(rows, "id long, url string, text string")
+    monkeypatch.setattr(boilerplate, "GROUP", 64)
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("1", "13"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got = {(r["doc"], r["line_no"]) for r in boilerplate.furniture_lines(df.repartition(5), "id", "text", "url").where("doc <> 300").collect()}
+            assert got == {(0, 4), (299, 4), (301, 4)}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+
+
+def test_nearest_addresses_by_brute_force(spark):
+    keys = sorted({(f"s{k % 3}", f"/p{k * 7919 % 1000:03d}") for k in range(200)})
+    df = spark.createDataFrame(keys, "site string, path string")
+    want = {(*a, -1, b[1]) for b, a in zip(keys, keys[1:], strict=False) if a[0] == b[0]} | {(*a, 1, b[1]) for a, b in zip(keys, keys[1:], strict=False) if a[0] == b[0]}
+    assert {tuple(r) for r in boilerplate.nearest_addresses(df.repartition(7)).collect()} == want
