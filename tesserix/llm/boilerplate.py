@@ -3,11 +3,10 @@
 Method: the addresses are sorted by host and URL path in a table of their own,
 which gives each the one before and the one after it on its host; the lines of a
 page and of these neighbours are aligned by their longest common subsequence and
-the lines they share are the evidence for deletion.  Headings and stock
-sentences of the body are shared as well, and boxes hold lines of their own, so
-a check follows: shared lines outside the body's blocks fall, a menu, footer or
-box goes with the shared lines it surrounds, and shared lines inside the body
-fall only where their wording is that of furniture.
+the lines they share fall, unless an exact check finds them to be the body's own:
+its sentences, facts, list items, table rows, and headings with a line of the body
+below.  Furniture that is not shared (dated box items, a byline, lines garbled
+beyond repair) falls by layout and by wording.
 
 Lines are compared in their repaired and unified form (mojibake, lookalike)
 with digits masked, so a garbled footer still meets its neighbour's.
@@ -58,6 +57,7 @@ TEASER = re.compile(r"(?i)^\d{1,2}([./]\d{1,2}[./]\d{4}| (" + MONTHS + r")( \d{4
 _PAGED = re.compile(r"(?i)^(страница|стр\.|page|p\.) ?\d+ ?(от|of|/) ?\d+$|^[-–—] ?\d+ ?[-–—]$")
 _SEPARATED = re.compile(r" [|›>»/·•] ")
 _DIGITS = re.compile(r"\d+")
+_ITEM = re.compile(r"[-–—•▪*] ")
 _FACTS = re.compile(r"\w: ?\S+.*; \w+|; ")
 
 
@@ -108,6 +108,10 @@ def _menu_like(x: str) -> bool:
     return len(_SEPARATED.findall(x)) >= 2 or (x.count(" ") <= 3 and x[-1] not in ".;:!?,") or (x.count(" ") >= 7 and not re.search(r"[.,;:!?\d]", x))
 
 
+def _title_like(x: str) -> bool:
+    return x.count(" ") <= 9 and x[-1] not in ".;:!?," and not _SEPARATED.search(x)
+
+
 def furniture(lines: list[str], shared: set[int], frequent: list[bool]) -> dict[int, str]:
     """Line index to the kind of furniture, from the page's lines, those it shares with its neighbours, and those frequent on its site."""
     n = len(lines)
@@ -205,9 +209,34 @@ def furniture(lines: list[str], shared: set[int], frequent: list[bool]) -> dict[
             if k not in out and any(abs(k - p) == 1 for p in pages) and (" – " in text[k] or " - " in text[k] or " | " in text[k]):
                 if first and (text[k].endswith(first) or text[k].startswith(first)) and text[k] != first or masked(text[k])[0] in {masked(text[m])[0] for m in filled if m != k and any(abs(m - p) == 1 for p in pages)}:
                     out[k] = "head"
+    out.update(dict.fromkeys(_aligned(lines, text, blocks, shared, out), "shared"))
     return out
 
 
+def _aligned(lines: list[str], text: list[str], blocks: list[list[int]], shared: set[int], out: dict[int, str]) -> list[int]:
+    """The aligned lines that no wording decides: they fall, but for what the body shares with its neighbours.
+
+    Spared are sentences and facts, items of lists, rows of tables, and headings:
+    a line that reads like a title and has a line of the body next below it in its
+    block; so is a table's head.
+    """
+    gone: list[int] = []
+    for b in blocks:
+        below = None  # the next line of the body in this block, and whether it is a heading
+        for k in reversed(b):
+            if k in out:
+                continue
+            x = text[k]
+            heading = _title_like(x) and below == "body"
+            if k not in shared or _sentence(x) or _FACTS.search(x) or _ITEM.match(x) or "\t" in lines[k]:
+                below = "body"
+            elif heading:
+                below = "heading"
+            else:
+                gone.append(k)
+    return gone
+
+
 _ADMISSION = re.compile(r"^(Прием в|Admission to) ")
 FURNITURE = T.StructType([T.StructField("doc", T.LongType()), T.StructField("line_no", T.IntegerType()), T.StructField("kind", T.StringType())])
 

@@ -335,3 +335,13 @@ def test_nearest_addresses_by_brute_force(spark):
     df = spark.createDataFrame(keys, "site string, path string")
     want = {(*a, -1, b[1]) for b, a in zip(keys, keys[1:], strict=False) if a[0] == b[0]} | {(*a, 1, b[1]) for a, b in zip(keys, keys[1:], strict=False) if a[0] == b[0]}
     assert {tuple(r) for r in boilerplate.nearest_addresses(df.repartition(7)).collect()} == want
+
+
+def test_aligned_lines_fall_whatever_their_wording():
+    page = "{0}\nPlaces: 9; Degree: Master.\nThe module on {0} is taught in autumn.\nTell a colleague: mail | link\nAbout the programme\nFees are set every year by the Academic Council.\nOn the way\nBy tram\nGraduates work as {0}.\n- a signed form, before May\n\nImpressum\nBarrier-free access"
+    own, other = (boilerplate.line_keys(page.format(x)) for x in ("Topic A", "Topic B"))
+    shared = {i for i, _ in boilerplate.shared_lines(own, other)}
+    lines = page.format("Topic A").split("\n")
+    assert shared == {1, 3, 4, 5, 6, 7, 9, 11, 12}
+    assert sorted(boilerplate.furniture(lines, shared, [False] * len(lines))) == [3, 6, 11, 12]
+    assert boilerplate.furniture(lines, set(), [False] * len(lines)) == {}
