@@ -161,7 +161,7 @@ def table_cells(spark, sf):
 
 
 def grid_text(spark, sf):
-    return grid.grid_text(_part_cells(spark, sf).where("r < 6"))
+    return grid.grid_text(_part_cells(spark, sf))
 
 
 def header_zones(spark, sf):

@@ -281,3 +281,13 @@ def test_names_and_anchors(spark):
     df = spark.createDataFrame([(said, "Право (задочно)", r"степен „(\w+)", "Право (на английски език)")], "x string, n string, p string, m string")
     r = df.select(labels.degree_from_name(F.col("n"), F.col("x")), labels.anchor_value(F.col("x"), F.lit("степен „([а-я]+)")), labels.anchor_value(F.col("x"), F.lit("степен „([а-я]+)"), F.lit(False)), labels.language_from_name(F.col("m"), F.col("x"))["value"]).first()
     assert list(r) == ["магистър", "магистър", None, "на английски език"]
+
+
+def test_grid_text_renders_whole_tables(spark, tmp_path):
+    from tesserix.queries import extraction as registered
+
+    parts = [(k, f"Brand#{k % 2}", f"part  {k}", f"TYPE {k % 3}", 100.0 + k) for k in range(40)]
+    spark.createDataFrame(parts, "p_partkey long, p_brand string, p_name string, p_type string, p_retailprice double").write.parquet(str(tmp_path / "part.parquet"))
+    got = {r["ref"]: r["text"] for r in registered.grid_text(spark, str(tmp_path)).collect()}
+    body = lambda b: [f"{p * 1.95583:.2f} part {k} {p:.2f} {kind}" for k, brand, _, kind, p in parts if brand == b]
+    assert got == {b: "\n".join(["Price Part Price Type", "BGN EUR", *body(b)]) for b in ("Brand#0", "Brand#1")}
