@@ -12,7 +12,8 @@ Lines are compared in their repaired and unified form (mojibake, lookalike)
 with digits masked, so a garbled footer still meets its neighbour's.
 
 No host and no address is held in one task: the neighbours' line keys travel to
-the pages by (site, path), and an address of more than GROUP pages is cut into
+the pages by (site, path), those of one rendering for each renderer, since the
+furniture depends on it; an address of more than GROUP pages is cut into
 salted groups, each with its own copy of them.  Every page meets both neighbours,
 whatever the partitions are.  Re-renderings of one address never pair with each
 other.
@@ -301,23 +302,24 @@ def nearest_addresses(addresses: DataFrame) -> DataFrame:
     return both.select("site", "path", F.explode(sides).alias("n")).where("n.at.site = site").select("site", "path", "n.step", F.col("n.at.path").alias("other"))
 
 
-def furniture_lines(docs: DataFrame, doc_id: str, text: str, url: str, stamp: str | None = None, counts: LineCounts | None = None) -> DataFrame:
+def furniture_lines(docs: DataFrame, doc_id: str, text: str, url: str, stamp: str | None = None, counts: LineCounts | None = None, renderer: str | None = None) -> DataFrame:
     """(doc, line_no, kind) of every non-blank line outside the main body."""
     counts = counts or count_lines(docs, doc_id, text, url, stamp)
     per_site = counts.frequent().groupBy("site").agg(F.collect_set("key").alias("keys"))
-    own = docs.select(F.col(doc_id).cast("long").alias("doc"), site_of(F.col(url)).alias("site"), path_of(F.col(url)).alias("path"), F.col(text).alias("text")).where("text is not null")
+    own = docs.select(F.col(doc_id).cast("long").alias("doc"), site_of(F.col(url)).alias("site"), path_of(F.col(url)).alias("path"), F.col(text).alias("text"), (F.col(renderer) if renderer else F.lit(None)).cast("string").alias("renderer")).where("text is not null")
     own = own.withColumn("site", F.coalesce("site", F.concat(F.lit("?"), F.col("doc").cast("string"))))
     flags = F.transform(F.split("text", "\n"), lambda x: F.coalesce(F.array_contains("keys", line_key(line_content(x))), F.lit(False)))
     own = own.join(per_site, "site", "left").withColumn("frequent", flags).drop("keys")
-    own = unify_text(repair_encoding(own, "text"), "encoding.repaired").select("doc", "site", "path", F.col("form.unified").alias("text"), "frequent")
+    own = unify_text(repair_encoding(own, "text"), "encoding.repaired").select("doc", "site", "path", F.col("form.unified").alias("text"), "frequent", "renderer")
     own = write_once(own.mapInArrow(_keyed, T.StructType([*own.schema.fields, T.StructField("keys", T.ArrayType(T.BinaryType()))])), "pages")
-    # One rendering stands for its address; addresses of many pages are few and are cut into groups.
-    there = write_once(own.groupBy("site", "path").agg(F.min_by("keys", "doc").alias("keys"), F.ceil(F.count("*") / GROUP).cast("int").alias("groups")), "renderings")
-    lines = there.select("site", F.col("path").alias("other"), "keys")
-    near = nearest_addresses(there.select("site", "path")).join(lines, ["site", "other"]).groupBy("site", "path").agg(F.array_sort(F.collect_list(F.struct("step", "keys"))).alias("near"))
-    near = near.join(there.select("site", "path", "groups"), ["site", "path"]).select("site", "path", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("salt"), F.col("near.keys").alias("near"))
-    hot = there.where("groups > 1").select("site", "path", "groups")
-    pages = own.drop("keys").join(F.broadcast(hot), ["site", "path"], "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("doc"), "groups").cast("int"), F.lit(0))).drop("groups")
+    # One rendering of each renderer stands for its address; addresses of many pages are few and are cut into groups.
+    there = write_once(own.groupBy("site", "path", "renderer").agg(F.min_by("keys", "doc").alias("keys"), F.count("*").alias("n")), "renderings")
+    sizes = there.groupBy("site", "path").agg(F.ceil(F.sum("n") / GROUP).cast("int").alias("groups"))
+    lines = there.select("site", F.col("path").alias("other"), "renderer", "keys")
+    near = nearest_addresses(sizes.select("site", "path")).join(lines, ["site", "other"]).groupBy("site", "path").agg(F.array_sort(F.collect_list(F.struct("step", "renderer", "keys"))).alias("near"))
+    near = near.join(sizes, ["site", "path"]).select("site", "path", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("salt"), F.array_distinct("near.keys").alias("near"))
+    hot = sizes.where("groups > 1")
+    pages = own.drop("keys", "renderer").join(F.broadcast(hot), ["site", "path"], "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("doc"), "groups").cast("int"), F.lit(0))).drop("groups")
     rows = pages.unionByName(near, allowMissingColumns=True).repartition("site", "path", "salt").sortWithinPartitions("site", "path", "salt", F.col("text").isNotNull(), "doc")
     return rows.select("doc", "site", "path", "text", "frequent", "near").mapInArrow(_difference, FURNITURE)
 

@@ -345,3 +345,12 @@ def test_aligned_lines_fall_whatever_their_wording():
     assert shared == {1, 3, 4, 5, 6, 7, 9, 11, 12}
     assert sorted(boilerplate.furniture(lines, shared, [False] * len(lines))) == [3, 6, 11, 12]
     assert boilerplate.furniture(lines, set(), [False] * len(lines)) == {}
+
+
+def test_neighbours_count_with_each_renderer(spark):
+    text = "Topic {0}\nPlaces: {1}; Degree: Master.\nThe module on topic {0} is taught in autumn.{2}"
+    rows = [(1, "https://s.example/a", "full", text.format("A", 1, "\nTell a colleague: mail | link"))]
+    rows += [(k, "https://s.example/b", kind, text.format("B", 2, more)) for k, kind, more in ((2, "bare", ""), (3, "full", "\nTell a colleague: mail | link"), (4, None, ""))]
+    df = spark.createDataFrame(rows, "id long, url string, r string, text string")
+    got = {(r["doc"], r["line_no"]) for r in boilerplate.furniture_lines(df, "id", "text", "url", renderer="r").collect()}
+    assert got == {(1, 4), (3, 4)}
