@@ -81,7 +81,7 @@ def unit_of(text: Column, units: dict[str, str]) -> Column:
 _ASIDE = r"(?iu)(за учебната|for) 20\d\d ?/ ?20\d\d( г\.)?|съгласно заповед.*$|under order.*$|за \d-ви курс|for first-year.*$|редовно обучение|full-time|part-time"
 _SPELT = {w: float(k) for k, words in NUMBER_WORDS.items() for w in words.split("|")} | {r.lower(): float(k) for k, r in ROMAN.items()}
 _SPELT_PATTERN = r"(?<![\p{L}\d])((?iu:" + "|".join("|".join(w.split("|")) for w in reversed(NUMBER_WORDS.values())) + ")|" + "|".join(reversed(ROMAN.values())) + r")(?![\p{L}\d])"
-_LENGTH_UNIT = r"(?iu)(месец|мес\.|month|семест|semest|сем\.|годин|годиш|year|(?<!\p{L})г\.)"
+LENGTH_UNIT = r"(?iu)(месец|мес\.|month|семест|semest|сем\.|годин|годиш|year|(?<!\p{L})г\.)"
 _LENGTH_PERIODS = {k: v for k, v in PERIODS.items() if k != "course"}
 
 
@@ -106,7 +106,7 @@ def read_span(df: DataFrame, text: str, out: str) -> DataFrame:
     t, digits, spelt, unit = (f"__{out}_{x}" for x in ("text", "digits", "spelt", "unit"))
     df = df.withColumn(t, plain(F.col(text)))
     # The unit next to the number counts, not one that follows in brackets or after a slash.
-    df = df.withColumns({digits: first_digits(F.col(t)), spelt: F.lower(F.regexp_extract(t, _SPELT_PATTERN, 1)), unit: F.regexp_extract(t, _LENGTH_UNIT, 1)})
+    df = df.withColumns({digits: first_digits(F.col(t)), spelt: F.lower(F.regexp_extract(t, _SPELT_PATTERN, 1)), unit: F.regexp_extract(t, LENGTH_UNIT, 1)})
     half = F.when(F.col(t).rlike(r"(?iu)и половина|and a half"), 0.5).otherwise(0.0)
     amount = F.coalesce(F.when(F.col(digits) != "", to_number(F.col(digits))), _lookup(F.col(spelt), _SPELT)) + half
     made = F.struct(amount.alias("amount"), F.when(F.col(unit) != "", unit_of(F.col(unit), _LENGTH_PERIODS)).alias("period"))
@@ -117,7 +117,7 @@ def states_quantity(text: Column) -> Column:
     """True where a plain text states an amount of money or time: a number with its unit, or a bare number."""
     money = r"(?iu)^[^\p{L}\d]*[\d .,]+$|\d.*(€|eur|евро|bgn|\blv\b|leva|(?<!\p{L})(лв|лева|лев)(?!\p{L}))|(€|eur|евро|bgn|leva|лева|лв).*\d"
     number = r"(\d|" + _SPELT_PATTERN + ")"
-    return text.rlike(money) | text.rlike(number + r".*" + _LENGTH_UNIT.replace("(?iu)(", "(?iu:", 1))
+    return text.rlike(money) | text.rlike(number + r".*" + LENGTH_UNIT.replace("(?iu)(", "(?iu:", 1))
 
 
 def integer_value(text: Column) -> Column:

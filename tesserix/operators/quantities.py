@@ -52,7 +52,16 @@ def read_statements(rows: DataFrame) -> DataFrame:
     named = "|".join(p.replace("(?iu)", "") for p in (*q.CURRENCIES.values(), *q.PERIODS.values()))
     bare = F.coalesce(F.col("text").rlike(r"\d") & ~F.col("text").rlike(f"(?iu){named}"), F.lit(False))
     rows = rows.withColumn("context", F.when(bare, F.col("context")))
-    rows = q.read_span(q.read_money(q.read_money(rows, "text", "fee"), "context", "around"), "text", "length")
+    rows = q.read_money(q.read_money(rows, "text", "fee"), "context", "around")
+    # Of a bare duration's context the clause with its number counts, else the first without money: fees state periods as well.
+    number = F.concat(F.lit(r"(?<![\d.,])\Q"), q.first_digits(F.col("text")), F.lit(r"\E(?!\d)"))
+    money = "|".join(p.replace("(?iu)", "") for p in q.CURRENCIES.values())
+    clauses = F.split("context", r"[;\n]|\. ")
+    with_number = F.filter(clauses, lambda x: F.regexp_like(x, number))
+    with_unit = F.filter(clauses, lambda x: x.rlike(q.LENGTH_UNIT) & ~x.rlike(f"(?iu){money}"))
+    clause = F.coalesce(F.try_element_at(with_number, F.lit(1)), F.try_element_at(with_unit, F.lit(1)))
+    rows = rows.withColumn("__clause", F.when(F.col("field") == "duration", clause))
+    rows = q.read_span(q.read_span(rows, "text", "length"), "__clause", "lasting").drop("__clause")
     is_fee, said = F.col("field") == "tuition", F.col("fee.currency").isNotNull()
     amount = F.when(is_fee, F.when(said | bare, F.col("fee.amount"))).when(F.col("length.period").isNotNull() | bare, F.col("length.amount"))
     period = F.coalesce("fee.period", "around.period", F.when(said, F.lit("year")))
@@ -61,8 +70,8 @@ def read_statements(rows: DataFrame) -> DataFrame:
     return rows.withColumns(
         {
             "currency": F.when(is_fee, F.coalesce("fee.currency", "around.currency")),
-            "period": F.when(whole, F.lit("year")).when(is_fee, F.col("fee_period")).otherwise(F.col("length.period")),
-            "years": F.when(whole, F.coalesce("fee.years", F.lit(1.0))).otherwise(F.lit(1.0)),
+            "period": F.when(whole, F.lit("year")).when(is_fee, F.col("fee_period")).otherwise(F.coalesce("length.period", "lasting.period")),
+            "years": F.when(whole, F.coalesce("fee.years", "around.years", F.lit(1.0))).otherwise(F.lit(1.0)),
         }
     )
 

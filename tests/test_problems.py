@@ -198,3 +198,14 @@ def test_empty_wide_table(spark):
     df = spark.createDataFrame([], CELLS)
     types = wide_table.discover(df)
     assert types == {} and wide_table.widen(df, types).count() == 0 and wide_table.filled_cells(wide_table.widen(df, types), types).count() == 0
+
+
+def test_bare_amounts_take_years_and_units_from_the_words_around(spark):
+    got = statements(spark, [
+        ("k", 1, "p", "tuition", "8000", "Fee in EUR for the whole course of 4 years: 8000."),
+        ("k", 2, "q", "duration", "3", "Tuition: 500 EUR per semester; Duration: 3 years; Places: 30"),
+        ("v", 3, "r", "duration", "18", "срок в месеци: 18"),
+        ("v", 4, "s", "duration", "4", None),
+        ("v", 5, "t", "duration", "8", "Такса за година: 900 лв; Срок на обучение"),
+    ])
+    assert got == {1: ("EUR/year", 2000.0), 2: ("year", 6.0), 3: ("month", 3.0), 4: ("semester", 4.0), 5: ("semester", 8.0)}
