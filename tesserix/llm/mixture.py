@@ -2,7 +2,7 @@
 
 Method: every document copy gets a virtual finish time, the tokens its source
 has given up to and with it divided by the source's target weight; all copies
-are range-sorted by it and cut off at the total budget.  Documents of a source
+are cut off at the total budget and range-sorted by it.  Documents of a source
 stand in a shuffled order (a seeded hash), a source starts again from the front
 when it runs out, at most `max_repeats` times in all.
 
@@ -129,7 +129,11 @@ class Mixture:
     def documents(self) -> DataFrame:
         """(doc_id, source, copies, tokens of one copy, finish of the first copy) in order of the first finish."""
         drawn = self.copies.groupBy("doc_id", "source", "tokens").agg(F.count("*").alias("copies"), F.min("finish").alias("first_finish"))
-        return drawn.select("doc_id", "source", "copies", "tokens", "first_finish")
+        return drawn.select("doc_id", "source", "copies", "tokens", "first_finish").orderBy("first_finish", "source", "doc_id")
+
+    def sequence(self) -> DataFrame:
+        """The mixture itself: (doc_id, source, epoch, tokens, finish) of every copy, range-sorted by finish, sources interleaved."""
+        return self.copies.orderBy("finish", "source", "doc_id", "epoch")
 
     def shares(self) -> DataFrame:
         """Per target source: what it holds, what it gave, the share reached and how often it was used over."""

@@ -73,6 +73,11 @@ def p9_mixture(spark: SparkSession, sf: str) -> DataFrame:
     return mixture.mix(table(spark, sf, "documents"), table(spark, sf, "mixture_targets")).documents()
 
 
+def p9_sequence(spark: SparkSession, sf: str) -> DataFrame:
+    """Every drawn copy in the order of the mixture."""
+    return mixture.mix(table(spark, sf, "documents"), table(spark, sf, "mixture_targets")).sequence()
+
+
 def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
     return mixture.mix(table(spark, sf, "documents"), table(spark, sf, "mixture_targets")).shares()
 
@@ -98,7 +103,7 @@ def p10_statistics(spark: SparkSession, sf: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     names = (
         p1_found, p1_restored, p2_found, p2_bodies, p3_found, p3_cleaned, p4_found, p4_unified, p8_found, p8_report,
-        p9_mixture, p9_shares, p9_exact_shares, p10_found, p10_statistics,
+        p9_mixture, p9_sequence, p9_shares, p9_exact_shares, p10_found, p10_statistics,
     )
     return {f.__name__: f for f in names}
 

@@ -354,3 +354,13 @@ def test_neighbours_count_with_each_renderer(spark):
     df = spark.createDataFrame(rows, "id long, url string, r string, text string")
     got = {(r["doc"], r["line_no"]) for r in boilerplate.furniture_lines(df, "id", "text", "url", renderer="r").collect()}
     assert got == {(1, 4), (3, 4)}
+
+
+def test_mixture_comes_out_in_order_of_finish(spark):
+    docs = spark.createDataFrame([(k, "ab"[k % 2], "word " * (k * 7 % 11 + 1)) for k in range(60)], "doc_id long, source string, text string").repartition(6)
+    targets = spark.createDataFrame([("a", 0.7, 3), ("b", 0.3, 2)], "source string, target_share double, max_repeats int")
+    mixed = mixture.mix(docs, targets)
+    first = [r["first_finish"] for r in mixed.documents().collect()]
+    copies = [(r["finish"], r["source"]) for r in mixed.sequence().collect()]
+    assert first == sorted(first) and copies == sorted(copies)
+    assert len(copies) == sum(r["copies"] for r in mixed.documents().collect()) and len(first) < len(copies)
