@@ -47,7 +47,6 @@ CODECS = (
     ("cp1251", "cp866"),
     ("cp1252", "cp866"),
 )
-MAX_LAYERS = 4
 #: A step must lower the cost by this much.
 MARGIN = 0.9
 
@@ -223,7 +222,7 @@ def _one_layer(line: str) -> tuple[str, int] | None:
 
 #: What stays unreadable after all steps.
 _LEFT = re.compile(r"\ufffd|[\u0080-\u0084\u0086-\u009f]|[ÐÑ][\u00a1-\u00bf\u2010-\u203a\u20ac]|[ÃÂ][\u00a1-\u00bf\u201a-\u203a]|â€|вЂ|[РС][Ђ-ЏђѓљњќћџЎўЈҐ¤¦§Ёё©Є«¬®ЇІіґµ¶·№є»јЅѕї°±][РС]|—[А-ЯA-Z–—]?[а-я–∏≤≥]")
-_RC, _FOLLOW, _LOWER, _UPPER, _CONSONANT, _DASH, _PLAIN, _TAIL, _ALONE, _LATIN, _VE, _VE_TAIL, _GE, _GAP = (1 << k for k in range(14))
+_RC, _FOLLOW, _LOWER, _UPPER, _CONSONANT, _DASH, _PLAIN, _TAIL, _ALONE, _LATIN, _VE, _VE_TAIL, _GE, _GAP, _LEAD, _CONT = (1 << k for k in range(16))
 
 
 @lru_cache(maxsize=1)
@@ -253,6 +252,11 @@ def _classes() -> np.ndarray:
     put(_VE_TAIL, 0x402, 0x201E, 0x201A)
     put(_GE, 0x412, 0x413)
     put(_GAP, 0x20, 0x2C, 0x2E)
+    # What the bytes of UTF-8 become, straight from CODECS; Cyrillic letters have classes of their own above.
+    for wrong in {w for w, right in CODECS if right == "utf-8"}:
+        for ch, byte in _table(wrong).items():
+            if byte >= 0x80 and not 0x400 <= ord(ch) < 0x500:
+                put(_CONT if byte < 0xC0 else _LEAD if 0xC2 <= byte <= 0xF4 else 0, ord(ch))
     return c
 
 
@@ -270,6 +274,7 @@ def suspicious_rows(texts: pa.Array) -> np.ndarray:
 
     hit = has(a, _LATIN) & has(b, _FOLLOW) | has(a, _LOWER) & has(b, _UPPER) | has(a, _DASH) & has(b, _PLAIN)
     hit |= has(a, _RC) & has(b, _TAIL) | has(a, _VE) & has(b, _VE_TAIL) | has(a, _GE) & has(b, _TAIL) & ~has(b, _DASH) & (cps > 0)
+    hit |= has(a, _LEAD) & has(b, _CONT)
     hit |= has(a, _CONSONANT) & has(b, _CONSONANT) & has(c, _CONSONANT)
     up = np.flatnonzero(has(a, _UPPER) & has(b, _UPPER))
     if len(up):
@@ -289,10 +294,8 @@ def repair_text(text: str) -> tuple[str, bool, bool, str]:
     lines = text.split("\n")
     for k in suspicious_rows(pa.array(lines, pa.string())):
         line = lines[k]
-        for _ in range(MAX_LAYERS):
-            step = _one_layer(line)
-            if step is None:
-                break
+        # Every step lowers the cost by MARGIN at least, so the steps come to an end.
+        while (step := _one_layer(line)) is not None:
             line, n = step
             garbled = True
             used["%s>%s" % CODECS[n]] = None

@@ -364,3 +364,19 @@ def test_mixture_comes_out_in_order_of_finish(spark):
     copies = [(r["finish"], r["source"]) for r in mixed.sequence().collect()]
     assert first == sorted(first) and copies == sorted(copies)
     assert len(copies) == sum(r["copies"] for r in mixed.documents().collect()) and len(first) < len(copies)
+
+
+def test_utf8_cyrillic_read_as_cp1250_is_screened():
+    back = {b: c for c, b in mojibake._table("cp1250").items()}
+    for word in ("кон", "банка", "закон"):
+        wrong = "".join(back[b] for b in word.encode())
+        assert list(mojibake.suspicious_rows(pa.array(["plain", wrong]))) == [1] and mojibake.repair_text(wrong)[:2] == (word, True), word
+
+
+def test_many_places_of_one_line_are_repaired():
+    parts = []
+    for codec in ("cp1252", "cp1251", "mac_roman", "koi8-r", "cp866", "cp1250"):
+        back = {b: c for c, b in sorted(mojibake._table(codec).items(), key=lambda x: ord(x[0]) < 0xA0, reverse=True)}
+        parts.append("".join(back[b] for b in "кон банка закон".encode()))
+    clean = " and then the story goes on as usual "
+    assert mojibake.repair_text(clean.join(parts))[0] == clean.join(["кон банка закон"] * 6)
