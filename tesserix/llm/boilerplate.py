@@ -1,32 +1,40 @@
 """Main body of rendered pages: furniture lines found by nearest-URL page differencing.
 
-Method: the addresses are sorted by host and URL path in a table of their own,
-which gives each the one before and the one after it on its host; the lines of a
-page and of these neighbours are aligned by their longest common subsequence and
-the lines they share fall, unless an exact check finds them to be the body's own:
-its sentences, facts, list items, table rows, and headings with a line of the body
-below.  Furniture that is not shared (dated box items, a byline, lines garbled
-beyond repair) falls by layout and by wording.
+Method: the addresses of a host are sorted by URL path; each page is aligned with
+the NEAREST addresses before and after its own by longest common subsequence of
+lines, and the lines that pages near each other share fall.  No wording is known
+to the module; without a shared line a page loses nothing.
+
+Site templates share more than furniture: headings of the body and stock sentences
+recur as well.  An exact check tells them apart by where a line stands in the pages
+around (WINDOW addresses to each side): a body heading is followed by a line of the
+body nearly always, a stock sentence comes after one mostly; a cookie notice, a
+share prompt, a byline or a box heading stands anywhere.  Furniture whose wording
+varies falls by what the alignment found next to it or under the same first words:
+the items of a box after its aligned heading, lines that begin like aligned ones,
+the rest of a block most of which is aligned, running heads beside page numbers.
 
 Lines are compared in their repaired and unified form (mojibake, lookalike)
 with digits masked, so a garbled footer still meets its neighbour's.
 
-No host and no address is held in one task: the neighbours' line keys travel to
-the pages by (site, path), those of one rendering for each renderer, since the
-furniture depends on it; an address of more than GROUP pages is cut into
-salted groups, each with its own copy of them.  Every page meets both neighbours,
-whatever the partitions are.  Re-renderings of one address never pair with each
-other.
+No host and no address is held in one task.  The sorted addresses are cut into
+chunks of bounded size; each chunk gets its pages and, of the addresses around
+it, one rendering for each renderer, since the furniture depends on it.  An
+address larger than a chunk is cut into salted chunks, each with the same
+neighbours.  Every page meets its whole neighbourhood, whatever the partitions
+are; re-renderings of one address never pair with each other.
 
-Defined results: null text has no rows; a page without a neighbour is judged by
-its layout and wording alone; a null address is its own host.
+Defined results: null text has no rows; a page without a neighbour or without a
+line shared with one keeps all its lines; a null address is its own host.
 """
 
 from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
+from functools import partial
 from hashlib import blake2b
 
 import pyarrow as pa
@@ -35,47 +43,45 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tesserix.functions.urls import path_of, site_of
-from tesserix.llm.lookalike import unify_text
-from tesserix.llm.mojibake import repair_encoding
-from tesserix.llm.sitelines import LineCounts, count_lines, line_content, line_key
+from tesserix.llm.codepoints import slices
+from tesserix.llm.lookalike import unify_array
+from tesserix.llm.mojibake import repair_array
 from tesserix.session import write_once
 
-# The wording of page furniture, Bulgarian and English.
-COOKIE = re.compile(r"(?i)бисквитки.{0,40}(преживяване|сайт)|сайт използва бисквитки|(web)?site uses cookies|партньора? съхранява|partners store data|^бисквитките ни помагат|^cookies help us|^privacy notice\b|^уведомление за поверителност\b")
-BUTTONS = re.compile(r"(?i)^(приемам|настройки|приемете всички|откажете всички|откажете|затвори|приеми|accept|settings|accept all|reject all|close|ok|разбрах|got it)( (приемам|настройки|приемете всички|откажете всички|затвори|accept|settings|accept all|reject all|close|разбрах|got it))*$")
-SHARE = re.compile(r"(?i)^(сподели (тази страница|с приятел)|изпрати на колега|харесва ли ви\?|share (this page|with a friend)|send to a colleague|like it\?)")
-BYLINE = re.compile(r"(?i)^(автор: |author: |текст: |text: |последна редакция: |last edited by |публикувано от редакцията|published by the)")
-FOOTER = re.compile(r"(?i)^©|^(последвайте ни|follow us|всички права запазени|all rights reserved|абонирайте се за бюлетина|subscribe to our newsletter|изработка: |made by )|^условия за ползване \||^terms of use \||\| (тел\.|phone) [\d ]+$")
-BOX = re.compile(r"(?i)^(последни новини|вижте още|свързани програми|предстоящи събития|най-четени|още по темата|see also|latest news|related programmes|upcoming events|most read)$")
-READ_MORE = re.compile(r"(?i)^(прочетете повече за |read more on )[^.!?;]+$")
-MONTHS = "януари|февруари|март|април|май|юни|юли|август|септември|октомври|ноември|декември|january|february|march|april|may|june|july|august|september|october|november|december"
-#: Distinct texts of one address whose findings are remembered; a text met again after that is worked out again.
-HELD = 256
-#: Pages of one address that stay together with one copy of its neighbours' lines.
-GROUP = 4096
-#: A dated teaser, cut off before its sentence ends.
-TEASER = re.compile(r"(?i)^\d{1,2}([./]\d{1,2}[./]\d{4}| (" + MONTHS + r")( \d{4})?)( г\.)? \S.*([^.!?:;]|\.\.\.|…|»)$")
-_PAGED = re.compile(r"(?i)^(страница|стр\.|page|p\.) ?\d+ ?(от|of|/) ?\d+$|^[-–—] ?\d+ ?[-–—]$")
-_SEPARATED = re.compile(r" [|›>»/·•] ")
+#: Addresses to each side that a page is aligned with.
+NEAREST = 32
+#: Addresses to each side whose lines tell where a recurring line stands.
+WINDOW = 128
+#: Pages in a chunk; a page counts one more for every 16,384 characters.
+CHUNK = 2048
+#: Addresses with an aligned copy of a line before it counts as shared, its own included.
+SHARED_BY = 2
+#: Share of the addresses around at which the line in the title's place must be aligned to be none.
+OFTEN = 0.04
+#: Share of a heading's copies that a line of the body follows, and the most that may end their block.
+HEADS_BODY, ENDS_BLOCK = 0.8, 0.05
+#: Share of a stock sentence's copies that follow a line of the body.
+IN_BODY = 0.6
+#: The same of lines that only begin like aligned ones.
+BEGUN_IN_BODY = 0.5
+#: Copies around from which these shares are taken; with fewer the line's own place decides.
+SEEN = 4
+
 _DIGITS = re.compile(r"\d+")
-_ITEM = re.compile(r"[-–—•▪*] ")
-_FACTS = re.compile(r"\w: ?\S+.*; \w+|; ")
+_ITEM = re.compile(r"[-–—•▪*] .*[^\W\d_]")
+_FACTS = re.compile(r"\w: ?\S.*; \w")
+_ROW = re.compile(r"[\d.,]+ [\d.,]+$")
 
 
-def shared_lines(a: list[str], b: list[str]) -> list[tuple[int, int]]:
-    """Positions of a longest common subsequence of two line lists (matching pairs and patience, not a full table)."""
-    where: dict[str, list[int]] = {}
-    for j, line in enumerate(b):
-        if line:
-            where.setdefault(line, []).append(j)
+def shared_lines(a: list, where: dict) -> list[int]:
+    """Positions in `a` of a longest common subsequence with the lines at the places `where` (matching pairs and patience, not a full table)."""
     tails: list[int] = []
-    nodes: list[tuple] = []
+    nodes: list[tuple[int, int]] = []
     last: list[int] = []
     for i, line in enumerate(a):
         for j in reversed(where.get(line, ())):
             k = bisect_left(tails, j)
-            node = (i, j, last[k - 1] if k else -1)
-            nodes.append(node)
+            nodes.append((i, last[k - 1] if k else -1))
             if k == len(tails):
                 tails.append(j)
                 last.append(len(nodes) - 1)
@@ -85,248 +91,305 @@ def shared_lines(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     out = []
     n = last[-1] if last else -1
     while n >= 0:
-        i, j, n = nodes[n]
-        out.append((i, j))
+        i, n = nodes[n]
+        out.append(i)
     return out[::-1]
 
 
-def masked(text: str) -> list[str]:
-    """The lines with blanks made one and numbers masked, for comparing pages."""
-    return [" ".join(x.split()) for x in _DIGITS.sub("#", text).split("\n")]
+def places(lines: list) -> dict:
+    """Where each line stands; blank lines (0) nowhere."""
+    out: dict = {}
+    for j, line in enumerate(lines):
+        if line:
+            out.setdefault(line, []).append(j)
+    return out
 
 
-#: What every cookie notice says somewhere, in lower case: a quick test before COOKIE.
-_COOKIE_WORDS = ("бисквитк", "cookies", "партньор", "partners store", "privacy notice", "уведомление за поверителност")
-#: Cues with fewer blanks than this; longer lines are only tried as cookie notices.
-_LONGEST_CUE = 14
+def _digest(line: str) -> int:
+    return int.from_bytes(blake2b(line.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") or 1
 
 
 def _sentence(x: str) -> bool:
-    return x[-1] in ".!?;" and x.count(" ") >= 4
+    end = x.rstrip("»”\"')")
+    return x[-1] == ";" or x.count(" ") >= (3 if end[-1:] == "." else 4) and end[-1:] in {".", "!", "?"} and not end.endswith("...")
 
 
-def _menu_like(x: str) -> bool:
-    return len(_SEPARATED.findall(x)) >= 2 or (x.count(" ") <= 3 and x[-1] not in ".;:!?,") or (x.count(" ") >= 7 and not re.search(r"[.,;:!?\d]", x))
+def _of_body(x: str, raw: str) -> bool:
+    """Sentences, list items, facts and rows of tables, by their shape alone."""
+    return _sentence(x) or "\t" in raw or bool(_ITEM.match(x)) or bool(_FACTS.search(x)) or "|" not in x and bool(_ROW.search(x))
 
 
 def _title_like(x: str) -> bool:
-    return x.count(" ") <= 9 and x[-1] not in ".;:!?," and not _SEPARATED.search(x)
-
-
-def furniture(lines: list[str], shared: set[int], frequent: list[bool]) -> dict[int, str]:
-    """Line index to the kind of furniture, from the page's lines, those it shares with its neighbours, and those frequent on its site."""
-    n = len(lines)
+    return x[-1] not in ".;:!?," and ": " not in x and " | " not in x and x.count(" ") <= 9
+
+
+def _head(masked: str) -> str:
+    """The first words of a line: up to a colon among the first three, else two."""
+    words = masked.split(" ", 3)
+    for n, w in enumerate(words[:3], 1):
+        if w.endswith(":"):
+            return " ".join(words[:n])
+    return " ".join(words[:2])
+
+
+class Page:
+    """A text as line keys (0 for blank lines), the keys of their first words, and where each line stands."""
+
+    __slots__ = ("lines", "keys", "heads", "body", "after_body", "before_body", "ends", "places")
+
+    def __init__(self, text: str):
+        raw = text.split("\n")
+        self.lines = x = [" ".join(line.split()) for line in raw]
+        masked = [_DIGITS.sub("#", line) for line in x]
+        self.keys = [_digest(m) if m else 0 for m in masked]
+        self.heads = [_digest("\n" + _head(m)) if m else 0 for m in masked]
+        self.body = [bool(line) and _of_body(line, r) for line, r in zip(x, raw, strict=True)]
+        self.after_body = [False, *self.body[:-1]]
+        self.before_body = [*self.body[1:], False]
+        self.ends = [not line for line in [*x[1:], ""]]
+        self.places = places(self.keys)
+
+
+class Around:
+    """Counts over the pages of a sliding window of addresses: where the copies of a line, and of lines that begin alike, stand."""
+
+    def __init__(self):
+        self.lines: dict[int, list[int]] = {}  # copies, of the body, after one of the body, before one, ending a block
+        self.aligned: Counter = Counter()  # addresses with an aligned copy, or one of a line that begins so
+
+    def move(self, pages: list[Page], aligned: set[int], sign: int) -> None:
+        lines = self.lines
+        for p in pages:
+            for k, h, *flags in zip(p.keys, p.heads, p.body, p.after_body, p.before_body, p.ends, strict=True):
+                if k:
+                    for key in (k, h):
+                        v = lines.get(key)
+                        if v is None:
+                            v = lines[key] = [0] * 5
+                        v[0] += sign
+                        for n, flag in enumerate(flags, 1):
+                            if flag:
+                                v[n] += sign
+                        if not v[0]:
+                            del lines[key]
+        counts = self.aligned
+        for k in aligned:
+            counts[k] += sign
+            if not counts[k]:
+                del counts[k]
+
+
+def _heads_body(v: list[int]) -> bool:
+    return v[3] >= HEADS_BODY * v[0] and v[4] <= ENDS_BLOCK * v[0]
+
+
+def furniture(p: Page, own: set[int], around: Around, addresses: int) -> dict[int, str]:
+    """Line index to the kind of furniture.
+
+    `own` holds the indexes that the alignment with the nearest pages found,
+    `around` what the window's pages say of their lines, of `addresses` addresses.
+    """
+    if not own:
+        return {}
+    n, x, body = len(p.lines), p.lines, p.body
+    lines, aligned = around.lines, around.aligned
+    none = [0] * 5
+    of_line = [lines.get(k, none) for k in p.keys]
+    of_head = [lines.get(h, none) for h in p.heads]
+
+    def heading(i: int) -> bool:
+        if body[i]:
+            return of_line[i][0] >= SEEN and of_line[i][3] == of_line[i][0]  # the head of a table
+        if not _title_like(x[i]):
+            return False
+        known = next((v for v in (of_line[i], of_head[i]) if v[0] >= SEEN), None)
+        return _heads_body(known) if known else p.before_body[i] and not x[i][-1].isdigit()
+
+    def known_heading(i: int) -> bool:
+        return _title_like(x[i]) and any(v[0] >= SEEN and _heads_body(v) and v[1] <= 0.5 * v[0] for v in (of_line[i], of_head[i]))
+
+    # The page's title: above its first line of the body; it meets the same title elsewhere now and then, furniture does so often.
+    titled = next((i for i in range(n) if body[i]), 0) - 1
+    while titled >= 0 and x[titled] and (not _title_like(x[titled]) or x[titled][-1].isdigit() or aligned[p.keys[titled]] >= max(SHARED_BY, OFTEN * addresses)):
+        titled -= 1
     out: dict[int, str] = {}
-    text = [" ".join(x.split()) for x in lines]
-    filled = [k for k in range(n) if text[k]]
-    if not filled:
-        return out
-    known = [k in shared or frequent[k] for k in range(n)]
-    # Blocks between blank lines.
-    blocks: list[list[int]] = []
-    for k in range(n):
-        if text[k]:
-            if blocks and blocks[-1][-1] == k - 1:
-                blocks[-1].append(k)
-            else:
-                blocks.append([k])
-    # Furniture by wording, wherever it stands.
-    for k in filled:
-        x = text[k]
-        blanks = x.count(" ")
-        low = x.lower()
-        if any(w in low for w in _COOKIE_WORDS) and COOKIE.search(x) and (known[k] or blanks < 18):
-            out[k] = "cookie"
-            for step in (1, -1):
-                m = k + step
-                while 0 <= m < n and text[m] and BUTTONS.match(text[m]):
-                    out[m] = "cookie"
-                    m += step
-        elif blanks >= _LONGEST_CUE:
+    for i in range(n - 1, -1, -1):
+        k = p.keys[i]
+        # Shared: aligned here or moved out of order, and aligned at enough addresses around; a notice has no heading.
+        if k and (out.get(i + 1) == "notice" or not heading(i)) and aligned[k] >= SHARED_BY:
+            if not body[i]:
+                if i != titled:
+                    out[i] = "shared"
+            elif _sentence(x[i]) and not _ITEM.match(x[i]) and of_line[i][0] >= SEEN and of_line[i][2] <= IN_BODY * of_line[i][0]:
+                out[i] = "notice"
+        # Numbered in the text itself, as printed pages are, and aligned anywhere around.
+        elif k and aligned[k] and not body[i] and len({x[j] for j in p.places[k]}) > 1:
+            out[i] = "shared"
+    first = next((i for i in range(n) if body[i] and i not in out), n)
+    # The items of a box: what follows an aligned line of no body, up to a line of the body or one known to head it.
+    i = first + 1
+    while i < n:
+        i += 1
+        if out.get(i - 1) == "shared":
+            while i < n and x[i] and not body[i] and not known_heading(i):
+                out.setdefault(i, "box")
+                i += 1
+    # Lines that begin like aligned ones.
+    for i in range(n):
+        if x[i] and i not in out and aligned[p.heads[i]] >= SHARED_BY and not heading(i):
+            v = of_head[i]
+            if v[2] <= BEGUN_IN_BODY * v[0] and not _heads_body(v) and (": " in x[i] and not _FACTS.search(x[i]) or not body[i] and (i > first or v[4] >= 0.3 * v[0])):
+                out[i] = "begun"
+    # The rest of a run of lines most of which is aligned.
+    run: list[int] = []
+    for i in range(n + 1):
+        if i < n and x[i] and not body[i]:
+            run.append(i)
             continue
-        elif known[k] and BUTTONS.match(x):
-            out.setdefault(k, "cookie")
-        elif blanks < 12 and SHARE.match(x):
-            out[k] = "share"
-        elif blanks < 9 and BYLINE.match(x):
-            out[k] = "byline"
-        elif blanks < 9 and READ_MORE.match(x):
-            out[k] = "box"
-        elif FOOTER.search(x):
-            out[k] = "footer"
-        elif blanks < 5 and _PAGED.match(x):
-            out[k] = "page"
-    # Boxes: a heading and its items, up to the first line of the body or another block.
-    for k in filled:
-        if BOX.match(text[k]):
-            items = []
-            m = k + 1
-            while m < n and text[m] and out.get(m, "box") == "box" and not BOX.match(text[m]):
-                x = text[m]
-                titled = x.count(" ") <= 9 and x[-1] not in ".;:!?," and x[0].isupper() and not known[m] and not _ADMISSION.match(x)
-                after = text[m + 1] if m + 1 < n else ""
-                if not (READ_MORE.match(x) or TEASER.match(x) or titled or READ_MORE.match(after) or TEASER.match(after)):
-                    break
-                items.append(m)
-                m += 1
-            if items or known[k]:
-                out[k] = "box"
-                out.update(dict.fromkeys(items, "box"))
-    # Menus: blocks before the body's title whose lines read like links.
-    title = next((b for b in blocks if any(_FACTS.search(text[k]) or _sentence(text[k]) for k in b if k not in out)), blocks[0])
-    for b in blocks:
-        if b is title:
-            break
-        rest = [k for k in b if k not in out]
-        if rest and sum(_menu_like(text[k]) for k in rest) >= 0.6 * len(rest):
-            out.update(dict.fromkeys(rest, "menu"))
-    # A menu that runs into the title's block: its shared, link-like lines at the head.
-    if title is blocks[0] or all(k in out for b in blocks[: blocks.index(title)] for k in b):
-        lead = []
-        for k in title:
-            if k in out:
-                continue
-            if known[k] and _menu_like(text[k]):
-                lead.append(k)
-            else:
-                break
-        if len(lead) >= 2 or lead and len(_SEPARATED.findall(text[lead[0]])) >= 2:
-            out.update(dict.fromkeys(lead, "menu"))
-    # Footers: the last block, where its lines are shared or worded as footers.
-    if len(blocks) > 1 and blocks[-1] is not title:
-        tail = blocks[-1]
-        if sum(known[k] or k in out for k in tail) >= 0.5 * len(tail) and any(out.get(k) == "footer" for k in tail):
-            out.update({k: "footer" for k in tail if k not in out})
-    # Address and owner lines: shared, at the end, after a line that is a footer already.
-    k = filled[-1]
-    while k >= 0 and text[k] and (k in out or known[k] and not _sentence(text[k]) and any(out.get(m) == "footer" for m in filled if m > k - 3 and m != k)):
-        out.setdefault(k, "footer")
-        k -= 1
-    # Running heads: lines that repeat the page's title after an owner's name, beside page numbers.
-    pages = [k for k, v in out.items() if v == "page"]
-    if pages:
-        first = next((text[k] for k in filled if k not in out), "")
-        for k in filled:
-            if k not in out and any(abs(k - p) == 1 for p in pages) and (" – " in text[k] or " - " in text[k] or " | " in text[k]):
-                if first and (text[k].endswith(first) or text[k].startswith(first)) and text[k] != first or masked(text[k])[0] in {masked(text[m])[0] for m in filled if m != k and any(abs(m - p) == 1 for p in pages)}:
-                    out[k] = "head"
-    out.update(dict.fromkeys(_aligned(lines, text, blocks, shared, out), "shared"))
+        rest = [k for k in run if k not in out]
+        if rest and 2 * len(rest) <= len(run):
+            # The last one before a line of the body is its title or a heading.
+            kept = rest[-1] if i < n and body[i] else -1
+            out.update(dict.fromkeys([k for k in rest if k != kept and not heading(k)], "block"))
+        run = []
+    # Running heads: beside a line that fell, repeated with it from printed page to page or holding the page's title.
+    title = next((x[i] for i in range(n) if x[i] and i not in out), "")
+    for i in list(out):
+        for m in (i - 1, i + 1):
+            if 0 <= m < n and x[m] and m not in out and not body[m]:
+                again = len(p.places[p.keys[m]]) > 1 and len(p.places[p.keys[i]]) > 1
+                if again or title and x[m] != title and (x[m].startswith(title) or x[m].endswith(title)):
+                    out[m] = "running"
     return out
 
 
-def _aligned(lines: list[str], text: list[str], blocks: list[list[int]], shared: set[int], out: dict[int, str]) -> list[int]:
-    """The aligned lines that no wording decides: they fall, but for what the body shares with its neighbours.
+def _one_form(texts: list[str]) -> list[str]:
+    out: list[str] = []
+    for part in slices(pa.array(texts, pa.string())):
+        repaired = [r or t for r, t in zip(repair_array(part).field("repaired").to_pylist(), part.to_pylist(), strict=True)]
+        out.extend(u if u is not None else r for u, r in zip(unify_array(pa.array(repaired, pa.string())).field("unified").to_pylist(), repaired, strict=True))
+    return out
+
 
-    Spared are sentences and facts, items of lists, rows of tables, and headings:
-    a line that reads like a title and has a line of the body next below it in its
-    block; so is a table's head.
-    """
-    gone: list[int] = []
-    for b in blocks:
-        below = None  # the next line of the body in this block, and whether it is a heading
-        for k in reversed(b):
-            if k in out:
-                continue
-            x = text[k]
-            heading = _title_like(x) and below == "body"
-            if k not in shared or _sentence(x) or _FACTS.search(x) or _ITEM.match(x) or "\t" in lines[k]:
-                below = "body"
-            elif heading:
-                below = "heading"
-            else:
-                gone.append(k)
-    return gone
+def _site(addresses: list[list[tuple]], reach: tuple[int, int] = (NEAREST, WINDOW), align=shared_lines) -> Iterator[tuple]:
+    """(doc, text, {line index: kind}) of the owned pages of one site in one chunk; addresses are lists of (doc, text, form, owned, stands)."""
+    n = len(addresses)
+    nearest, window = reach
+    forms = {t: Page(t) for a in addresses for *_, t, _, _ in a}
+    stands = [[forms[t] for *_, t, _, s in a if s] for a in addresses]
+    found: list[dict[str, set[int]]] = []
+    for k, pages in enumerate(addresses):
+        near = [q for j in range(max(0, k - nearest), min(n, k + nearest + 1)) if j != k for q in stands[j]]
+        found.append({t: {i for q in near for i in align(forms[t].keys, q.places)} for t in {t for *_, t, _, _ in pages}})
+    aligned = [{key for *_, t, _, s in a if s for i in f[t] for key in (forms[t].keys[i], forms[t].heads[i])} for a, f in zip(addresses, found, strict=True)]
+    around, low, high = Around(), 0, 0
+    for k, pages in enumerate(addresses):
+        while high < n and high <= k + window:
+            around.move(stands[high], aligned[high], 1)
+            high += 1
+        while low < k - window:
+            around.move(stands[low], aligned[low], -1)
+            low += 1
+        done: dict[str, dict[int, str]] = {}
+        for doc, text, form, owned, _ in pages:
+            if owned:
+                if form not in done:
+                    done[form] = furniture(forms[form], found[k][form], around, high - low)
+                yield doc, text, done[form]
+
+
+def _chunks(batches: Iterable[pa.RecordBatch], reach: tuple[int, int]) -> Iterator[Iterator[tuple]]:
+    """Results of each chunk's sites; rows (chunk, site, path, doc, text, owned, stands) come sorted."""
+    at, held = None, []
+    for b in batches:
+        for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            key = (row[0], row[1])
+            if key != at:
+                yield _held(held, reach)
+                at, held = key, []
+            held.append(row)
+    yield _held(held, reach)
+
+
+def _held(rows: list[tuple], reach: tuple[int, int]) -> Iterator[tuple]:
+    addresses: list[list[tuple]] = []
+    at = None
+    for (_, _, path, doc, text, owned, stands), form in zip(rows, _one_form([r[4] for r in rows]), strict=True):
+        if path != at:
+            at = path
+            addresses.append([])
+        addresses[-1].append((doc, text, form, owned, stands))
+    return _site(addresses, reach) if addresses else iter(())
 
 
-_ADMISSION = re.compile(r"^(Прием в|Admission to) ")
 FURNITURE = T.StructType([T.StructField("doc", T.LongType()), T.StructField("line_no", T.IntegerType()), T.StructField("kind", T.StringType())])
+BODIES = T.StructType([T.StructField("doc", T.LongType()), T.StructField("body", T.StringType())])
 
 
-def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    for b in batches:
-        yield from zip(*(c.to_pylist() for c in b.columns), strict=True)
-
+def _lines_out(batches: Iterator[pa.RecordBatch], reach: tuple[int, int]) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([("doc", pa.int64()), ("line_no", pa.int32()), ("kind", pa.string())])
+    for pages in _chunks(batches, reach):
+        rows = [(doc, i + 1, kind) for doc, _, found in pages for i, kind in sorted(found.items())]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-def line_keys(text: str) -> list[bytes]:
-    """A digest of each masked line, empty for blank lines."""
-    return [blake2b(x.encode("utf-8", "surrogatepass"), digest_size=12).digest() if x else b"" for x in masked(text)]
 
+def _bodies_out(batches: Iterator[pa.RecordBatch], reach: tuple[int, int]) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([("doc", pa.int64()), ("body", pa.string())])
+    for pages in _chunks(batches, reach):
+        rows = [(doc, "\n".join(line for i, line in enumerate(text.split("\n")) if i not in found)) for doc, text, found in pages]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Appends the line keys to batches of pages."""
-    for b in batches:
-        keys = pa.array([line_keys(x) for x in b.column("text").to_pylist()], pa.list_(pa.binary()))
-        yield pa.RecordBatch.from_arrays([*b.columns, keys], names=[*b.schema.names, "keys"])
 
+def chunked_addresses(pages: DataFrame, reach: int, size: int) -> DataFrame:
+    """One row per address of (doc, site, path, renderer, size): its chunk, number of salted chunks, the pages that stand for it, and all chunks it is near.
 
-def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pages (doc, site, path, text, frequent, near) of one partition, those of an address after a row without text that has its neighbours' line keys."""
-    schema = pa.schema([("doc", pa.int64()), ("line_no", pa.int32()), ("kind", pa.string())])
-    rows: list[tuple] = []
-    near: list[list[bytes]] = []
-    address = None
-    seen: dict[tuple, list] = {}  # distinct (text, flags) of the current address
-
-    for doc, site, path, text, frequent, *given in _pages(batches):
-        if (site, path) != address:
-            address, near, seen = (site, path), [], {}
-        if text is None:
-            near = given[0]
-            continue
-        flagged = (text, tuple(frequent))
-        if flagged not in seen:
-            if len(seen) >= HELD:
-                seen.clear()
-            own = line_keys(text) if near else []
-            shared = {i for other in near for i, _ in shared_lines(own, other)}
-            seen[flagged] = sorted(furniture(text.split("\n"), shared, frequent).items())
-        rows.extend((doc, k + 1, kind) for k, kind in seen[flagged])
-        if len(rows) >= 50_000:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-            rows.clear()
-    if rows:
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-
-
-def nearest_addresses(addresses: DataFrame) -> DataFrame:
-    """(site, path, step, other): the address before (step -1) and after (step 1) each of the distinct (site, path), on the same site."""
-    placed = write_once(addresses.repartitionByRange("site", "path").withColumn("part", F.spark_partition_id()), "addresses")
-    key = F.struct("site", "path")
-    # A range's first and last address look for their neighbour in the nearest range that isn't empty.
-    edges = placed.groupBy("part").agg(F.min(key).alias("first"), F.max(key).alias("last"))
-    parts = Window.orderBy("part")
-    edges = edges.select("part", F.lag("last").over(parts).alias("edge_before"), F.lead("first").over(parts).alias("edge_after"))
+    The addresses are sorted in a range-partitioned table of their own; rows near
+    the edge of a range are few and meet in a small table of all edges.
+    """
+    one = pages.groupBy("site", "path", "renderer").agg(F.min("doc").alias("doc"), F.sum(F.lit(1) + F.floor(F.col("size") / 16384)).alias("weight"))
+    one = one.groupBy("site", "path").agg(F.collect_set("doc").alias("stands"), F.sum("weight").alias("weight"))
+    placed = write_once(one.repartitionByRange("site", "path").withColumn("part", F.spark_partition_id()), "addresses")
     inside = Window.partitionBy("part").orderBy("site", "path")
-    both = placed.select("site", "path", "part", F.lag(key).over(inside).alias("before"), F.lead(key).over(inside).alias("after")).join(edges, "part")
-    sides = F.array(F.struct(F.lit(-1).alias("step"), F.coalesce("before", "edge_before").alias("at")), F.struct(F.lit(1).alias("step"), F.coalesce("after", "edge_after").alias("at")))
-    return both.select("site", "path", F.explode(sides).alias("n")).where("n.at.site = site").select("site", "path", "n.step", F.col("n.at.path").alias("other"))
+    before = F.coalesce(F.sum("weight").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    chunk = F.struct("part", F.floor(before / size).alias("chunk"), F.ceil(F.col("weight") / size).cast("int").alias("salts"))
+    backwards = Window.partitionBy("part").orderBy(F.desc("site"), F.desc("path"))
+    placed = placed.select("site", "path", "stands", chunk.alias("at"), (F.row_number().over(inside) <= reach).alias("early"), (F.row_number().over(backwards) <= reach).alias("late"))
+    near = Window.partitionBy("site").orderBy("path").rowsBetween(-reach, reach)
+    near_inside = Window.partitionBy("at.part", "site").orderBy("path").rowsBetween(-reach, reach)
+    edges = placed.where("early or late").select("site", "path", F.collect_set("at").over(near).alias("over"))
+    met = placed.select("site", "path", "stands", "at", F.collect_set("at").over(near_inside).alias("near")).join(edges, ["site", "path"], "left")
+    return met.select("site", "path", "stands", "at", F.array_union("near", F.coalesce("over", F.array().cast("array<struct<part:int,chunk:bigint,salts:int>>"))).alias("near"))
+
+
+def _chunk_id(at, salt):
+    return F.concat_ws("-", at["part"].cast("string"), at["chunk"].cast("string"), salt.cast("string"))
+
+
+def _spread(docs: DataFrame, doc_id: str, text: str, url: str, renderer: str | None, reach: tuple[int, int], chunk: int) -> DataFrame:
+    """Rows (chunk, site, path, doc, text, owned, stands), each chunk whole and sorted."""
+    doc = F.col(doc_id).cast("long")
+    site = F.coalesce(site_of(F.col(url)), F.concat(F.lit("?"), doc.cast("string")))
+    pages = docs.select(doc.alias("doc"), site.alias("site"), path_of(F.col(url)).alias("path"), F.col(text).alias("text"), (F.col(renderer) if renderer else F.lit(None)).cast("string").alias("renderer")).where("text is not null")
+    addresses = write_once(chunked_addresses(pages.select("doc", "site", "path", "renderer", F.length("text").alias("size")), sum(reach), chunk), "chunks")
+    own = _chunk_id(F.col("at"), F.pmod(F.xxhash64("doc"), F.col("at.salts")))
+    there = F.flatten(F.transform("near", lambda a: F.transform(F.sequence(F.lit(0), a["salts"] - 1), lambda s: _chunk_id(a, s))))
+    stands = F.array_contains("stands", F.col("doc"))
+    rows = pages.drop("renderer").join(addresses, ["site", "path"]).select("doc", "site", "path", "text", own.alias("own"), F.when(stands, F.array_union(F.array(own), there)).otherwise(F.array(own)).alias("chunks"), stands.alias("stands"))
+    rows = rows.select(F.explode("chunks").alias("chunk"), "site", "path", "doc", "text", "own", "stands")
+    rows = rows.select("chunk", "site", "path", "doc", "text", (F.col("chunk") == F.col("own")).alias("owned"), "stands")
+    return rows.repartition("chunk").sortWithinPartitions("chunk", "site", "path", "doc")
+
+
+def furniture_lines(docs: DataFrame, doc_id: str, text: str, url: str, renderer: str | None = None, nearest: int = NEAREST, window: int = WINDOW, chunk: int = CHUNK) -> DataFrame:
+    """(doc, line_no, kind) of every non-blank line outside the main body."""
+    reach = (nearest, window)
+    return _spread(docs, doc_id, text, url, renderer, reach, chunk).mapInArrow(partial(_lines_out, reach=reach), FURNITURE)
 
 
-def furniture_lines(docs: DataFrame, doc_id: str, text: str, url: str, stamp: str | None = None, counts: LineCounts | None = None, renderer: str | None = None) -> DataFrame:
-    """(doc, line_no, kind) of every non-blank line outside the main body."""
-    counts = counts or count_lines(docs, doc_id, text, url, stamp)
-    per_site = counts.frequent().groupBy("site").agg(F.collect_set("key").alias("keys"))
-    own = docs.select(F.col(doc_id).cast("long").alias("doc"), site_of(F.col(url)).alias("site"), path_of(F.col(url)).alias("path"), F.col(text).alias("text"), (F.col(renderer) if renderer else F.lit(None)).cast("string").alias("renderer")).where("text is not null")
-    own = own.withColumn("site", F.coalesce("site", F.concat(F.lit("?"), F.col("doc").cast("string"))))
-    flags = F.transform(F.split("text", "\n"), lambda x: F.coalesce(F.array_contains("keys", line_key(line_content(x))), F.lit(False)))
-    own = own.join(per_site, "site", "left").withColumn("frequent", flags).drop("keys")
-    own = unify_text(repair_encoding(own, "text"), "encoding.repaired").select("doc", "site", "path", F.col("form.unified").alias("text"), "frequent", "renderer")
-    own = write_once(own.mapInArrow(_keyed, T.StructType([*own.schema.fields, T.StructField("keys", T.ArrayType(T.BinaryType()))])), "pages")
-    # One rendering of each renderer stands for its address; addresses of many pages are few and are cut into groups.
-    there = write_once(own.groupBy("site", "path", "renderer").agg(F.min_by("keys", "doc").alias("keys"), F.count("*").alias("n")), "renderings")
-    sizes = there.groupBy("site", "path").agg(F.ceil(F.sum("n") / GROUP).cast("int").alias("groups"))
-    lines = there.select("site", F.col("path").alias("other"), "renderer", "keys")
-    near = nearest_addresses(sizes.select("site", "path")).join(lines, ["site", "other"]).groupBy("site", "path").agg(F.array_sort(F.collect_list(F.struct("step", "renderer", "keys"))).alias("near"))
-    near = near.join(sizes, ["site", "path"]).select("site", "path", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("salt"), F.array_distinct("near.keys").alias("near"))
-    hot = sizes.where("groups > 1")
-    pages = own.drop("keys", "renderer").join(F.broadcast(hot), ["site", "path"], "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("doc"), "groups").cast("int"), F.lit(0))).drop("groups")
-    rows = pages.unionByName(near, allowMissingColumns=True).repartition("site", "path", "salt").sortWithinPartitions("site", "path", "salt", F.col("text").isNotNull(), "doc")
-    return rows.select("doc", "site", "path", "text", "frequent", "near").mapInArrow(_difference, FURNITURE)
-
-
-def main_body(docs: DataFrame, doc_id: str, text: str, url: str, **how) -> DataFrame:
-    """(doc, body): each text without its furniture lines; a text without furniture comes out as it is."""
-    found = furniture_lines(docs, doc_id, text, url, **how).groupBy("doc").agg(F.collect_set("line_no").alias("gone"))
-    own = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).join(found, "doc", "left")
-    kept = F.filter(F.split("text", "\n"), lambda x, k: ~F.coalesce(F.array_contains("gone", k + 1), F.lit(False)))
-    return own.select("doc", F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("body"))
+def main_body(docs: DataFrame, doc_id: str, text: str, url: str, renderer: str | None = None, nearest: int = NEAREST, window: int = WINDOW, chunk: int = CHUNK) -> DataFrame:
+    """(doc, body): each text without its furniture lines; a text without furniture comes out as it is, null for null."""
+    reach = (nearest, window)
+    absent = docs.where(F.col(text).isNull()).select(F.col(doc_id).cast("long").alias("doc"), F.lit(None).cast("string").alias("body"))
+    return _spread(docs, doc_id, text, url, renderer, reach, chunk).mapInArrow(partial(_bodies_out, reach=reach), BODIES).unionByName(absent)

@@ -29,12 +29,12 @@ def p1_restored(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
-    return boilerplate.furniture_lines(table(spark, sf, "artifacts"), "artifact_id", "text", "source_ref", "rendered_at", renderer="renderer_id").select(F.col("doc").alias("artifact_id"), "line_no")
+    return boilerplate.furniture_lines(table(spark, sf, "artifacts"), "artifact_id", "text", "source_ref", renderer="renderer_id").select(F.col("doc").alias("artifact_id"), "line_no")
 
 
 def p2_bodies(spark: SparkSession, sf: str) -> DataFrame:
     """Each artifact's main body."""
-    return boilerplate.main_body(table(spark, sf, "artifacts"), "artifact_id", "text", "source_ref", stamp="rendered_at", renderer="renderer_id").select(F.col("doc").alias("artifact_id"), "body")
+    return boilerplate.main_body(table(spark, sf, "artifacts"), "artifact_id", "text", "source_ref", renderer="renderer_id").select(F.col("doc").alias("artifact_id"), "body")
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
