@@ -3,20 +3,23 @@
 Method: a hidden Markov model per device, here per (program, field) series of
 statements in order of time.  The hidden state is the unit a statement is made
 in (currency and period of a fee, period of a length of study).  What the text
-says about its unit narrows the states of a statement; between statements a
-change of unit costs something, and so does a jump of the log value in common
-units, since the underlying level is smooth.  Viterbi decodes the units of the
-whole series; a bare amount thus gets its unit from the words around it or,
-where there are none, from the level of its neighbours.
+says of its unit is evidence and makes the other states dear, most of all in the
+value itself, less in the words around it; a fee with a currency and no period
+leans to a year.  Between statements a change of unit costs something, and so
+does a jump of the log value in common units from the level that the path has
+smoothed over its statements so far.  Viterbi decodes the units of the whole
+series, so the level settles what the words leave open.
 
 The text is read in the JVM.  Series are decoded as streams of range-partitioned
-sorted rows: once a statement allows a single state, the path up to it is
-settled and given out, so memory doesn't grow with the series, and a hot series
-may span several ranges (a range begins a series afresh).
+sorted rows.  A path so much dearer than the best that a switch is cheaper can
+never win again; once a single one is left all statements up to it are settled
+and given out.  Statements that nothing settles are given out LAG later at the
+latest, so memory doesn't grow with the series.  A hot series may span several
+ranges (a range begins a series afresh).
 
 Common units: euros per academic year, and semesters.  1 EUR is 1.95583 BGN; a
 year is 2 semesters or 12 months; an amount for a whole course is divided by its
-stated years; an amount without a period is per year.
+stated years.
 
 Defined results: no number, a placeholder or a value not above zero gives null;
 a series without any unit takes the likeliest (EUR per year, semesters).
@@ -40,13 +43,19 @@ STATES = {
     "duration": [("semester", 1.0, 0.0), ("year", 2.0, 0.3), ("month", 1 / 6, 0.6)],
 }
 SWITCH = 0.5
-#: Cost of a jump of the level by a factor e.
-JUMP = 4.0
+#: Cost of a jump from the level by a factor e, and of any jump at most: values do change.
+JUMP, MOST = 4.0, 2.5
+#: Weight of a new statement in the level.
+FRESH = 0.5
+#: Cost of a unit other than the one said in the value, in the words around it, and other than a year where a currency is said alone.
+SAID, AROUND, PLAIN = 9.0, 7.0, 6.0
+#: Statements held at most while nothing settles their units.
+LAG = 10_000
 TOLERANCE = 0.01
 
 
 def read_statements(rows: DataFrame) -> DataFrame:
-    """Adds amount, currency, period and years to (device, field, text, context) rows; null amounts for what states no quantity."""
+    """Adds amount, years and what is said of the unit in the value (currency, period) and around it (near_currency, near_period) to (device, field, text, context) rows; null amounts for what states no quantity."""
     rows = rows.withColumn("text", F.when(~q.is_placeholder(F.col("text")), q.plain(F.col("text"))))
     # A bare amount: a number with or without words around it, but no currency and no unit of time.
     named = "|".join(p.replace("(?iu)", "") for p in (*q.CURRENCIES.values(), *q.PERIODS.values()))
@@ -62,93 +71,100 @@ def read_statements(rows: DataFrame) -> DataFrame:
     clause = F.coalesce(F.try_element_at(with_number, F.lit(1)), F.try_element_at(with_unit, F.lit(1)))
     rows = rows.withColumn("__clause", F.when(F.col("field") == "duration", clause))
     rows = q.read_span(q.read_span(rows, "text", "length"), "__clause", "lasting").drop("__clause")
-    is_fee, said = F.col("field") == "tuition", F.col("fee.currency").isNotNull()
-    amount = F.when(is_fee, F.when(said | bare, F.col("fee.amount"))).when(F.col("length.period").isNotNull() | bare, F.col("length.amount"))
-    period = F.coalesce("fee.period", "around.period", F.when(said, F.lit("year")))
-    rows = rows.withColumns({"amount": F.when(amount > 0, amount), "fee_period": period})
-    whole = is_fee & (F.col("fee_period") == "course")
+    is_fee = F.col("field") == "tuition"
+    amount = F.when(is_fee, F.when(F.col("fee.currency").isNotNull() | bare, F.col("fee.amount"))).when(F.col("length.period").isNotNull() | bare, F.col("length.amount"))
+    rows = rows.withColumns({"amount": F.when(amount > 0, amount), "period": F.when(is_fee, F.col("fee.period")).otherwise(F.col("length.period")), "near_period": F.when(is_fee, F.col("around.period")).otherwise(F.col("lasting.period"))})
+    # An amount for a whole course, divided by its years, is one per year.
+    whole = is_fee & (F.coalesce("period", "near_period") == "course")
     return rows.withColumns(
         {
-            "currency": F.when(is_fee, F.coalesce("fee.currency", "around.currency")),
-            "period": F.when(whole, F.lit("year")).when(is_fee, F.col("fee_period")).otherwise(F.coalesce("length.period", "lasting.period")),
+            "currency": F.when(is_fee, F.col("fee.currency")),
+            "near_currency": F.when(is_fee, F.col("around.currency")),
+            "period": F.when(F.col("period") == "course", "year").otherwise(F.col("period")),
+            "near_period": F.when(F.col("near_period") == "course", "year").otherwise(F.col("near_period")),
             "years": F.when(whole, F.coalesce("fee.years", "around.years", F.lit(1.0))).otherwise(F.lit(1.0)),
         }
     )
 
 
-def allowed(field: str, currency: str | None, period: str | None) -> list[int]:
-    """States that agree with what the text says."""
-    out = []
-    for k, (name, _, _) in enumerate(STATES[field]):
-        money, _, per = name.rpartition("/")
-        if (currency is None or not money or money == currency) and (period is None or per == period):
-            out.append(k)
-    return out or list(range(len(STATES[field])))
-
-
 class Decoder:
     """Viterbi over one series, giving out rows as soon as their states are settled."""
 
     def __init__(self, field: str):
-        self.states = STATES[field]
-        self.field = field
+        self.states = [(name, math.log(f), prior, *name.rpartition("/")[::2]) for name, f, prior in STATES[field]]
         self.costs: list[float] | None = None
         self.levels: list[float] = []
         self.back: list[list[int]] = []
         self.rows: list[tuple] = []
 
-    def push(self, row: tuple, amount: float, currency: str | None, period: str | None, years: float) -> Iterator[tuple]:
-        open_states = allowed(self.field, currency, period)
+    def evidence(self, currency: str | None, period: str | None, near_currency: str | None = None, near_period: str | None = None) -> list[float]:
+        """Cost of each state by what is said of the unit."""
+        plain = (currency or near_currency) and not (period or near_period)
+        out = []
+        for _, _, prior, money, per in self.states:
+            cost = 0.1 * prior
+            for said, unit, weight in ((currency, money, SAID), (near_currency, money, AROUND), (period, per, SAID), (near_period, per, AROUND)):
+                cost += weight * bool(said and unit and said != unit)
+            out.append(cost + PLAIN * bool(plain and money and per != "year"))
+        return out
+
+    def push(self, row: tuple, amount: float, currency: str | None, period: str | None, years: float, near_currency: str | None = None, near_period: str | None = None) -> Iterator[tuple]:
+        cost = self.evidence(currency, period, near_currency, near_period)
         log = math.log(amount / years)
-        levels = [log + math.log(f) for _, f, _ in self.states]
+        states = range(len(self.states))
+        here = [log + s[1] for s in self.states]
         if self.costs is None:
-            costs = [prior if k in open_states else math.inf for k, (_, _, prior) in enumerate(self.states)]
-            back = [-1] * len(self.states)
+            self.costs, levels, back = [c + 0.9 * s[2] for c, s in zip(cost, self.states, strict=True)], here, [-1] * len(here)
         else:
-            costs, back = [math.inf] * len(self.states), [-1] * len(self.states)
-            for k in open_states:
-                for j, c in enumerate(self.costs):
-                    total = c + JUMP * abs(levels[k] - self.levels[j]) + (SWITCH if j != k else 0.0) + 0.1 * self.states[k][2]
-                    if total < costs[k]:
-                        costs[k], back[k] = total, j
-        self.rows.append((row, levels))
+            costs, levels, back = [], [], []
+            alive = [j for j in states if self.costs[j] < math.inf]
+            for k in states:
+                at = here[k]
+                best, j = min((self.costs[j] + min(MOST, JUMP * abs(at - self.levels[j])) + (SWITCH if j != k else 0.0), j) for j in alive)
+                costs.append(best + cost[k])
+                levels.append((1 - FRESH) * self.levels[j] + FRESH * at)
+                back.append(j)
+            self.costs = costs
+        self.rows.append((row, here))
         self.back.append(back)
-        self.costs, self.levels = costs, levels
-        if len(open_states) == 1:
+        self.levels = levels
+        least = min(self.costs)
+        self.costs = [c - least if c - least <= SWITCH + MOST else math.inf for c in self.costs]
+        if sum(c < math.inf for c in self.costs) == 1 or len(self.rows) >= LAG:
             yield from self.settle()
-            self.costs = [0.0 if k == open_states[0] else math.inf for k in range(len(self.states))]
 
     def settle(self) -> Iterator[tuple]:
         """Rows held so far with their decoded unit and common value."""
         if not self.rows:
             return
-        k = min(range(len(self.states)), key=lambda s: self.costs[s])
+        k = best = min(range(len(self.states)), key=lambda s: self.costs[s])
         path = []
         for back in reversed(self.back):
             path.append(k)
-            k = back[k] if back[k] >= 0 else k
-        for (row, levels), s in zip(self.rows, reversed(path), strict=True):
-            yield (*row, self.states[s][0], math.exp(levels[s]))
+            k = back[k]
+        for (row, here), s in zip(self.rows, reversed(path), strict=True):
+            yield (*row, self.states[s][0], math.exp(here[s]))
         self.rows, self.back = [], []
+        self.costs = [0.0 if s == best else math.inf for s in range(len(self.states))]
 
 
 DECODED = T.StructType([T.StructField("device", T.StringType()), T.StructField("field", T.StringType()), T.StructField("src", T.StringType()), T.StructField("row_id", T.LongType()), T.StructField("unit", T.StringType()), T.StructField("value", T.DoubleType())])
 
 
 def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (device, field, src, row_id, amount, currency, period, years), sorted by device, field and time."""
+    """Rows (device, field, src, row_id, amount, currency, period, years, near_currency, near_period), sorted by device, field and time."""
     schema = pa.schema([("device", pa.string()), ("field", pa.string()), ("src", pa.string()), ("row_id", pa.int64()), ("unit", pa.string()), ("value", pa.float64())])
     series = decoder = None
     for b in batches:
         out: list[tuple] = []
-        for device, field, src, row_id, amount, currency, period, years in zip(*(c.to_pylist() for c in b.columns), strict=True):
+        for device, field, src, row_id, amount, *said in zip(*(c.to_pylist() for c in b.columns), strict=True):
             if amount is None:
                 continue
             if (device, field) != series:
                 if decoder is not None:
                     out.extend(decoder.settle())
                 series, decoder = (device, field), Decoder(field)
-            out.extend(decoder.push((device, field, src, row_id), amount, currency, period, years))
+            out.extend(decoder.push((device, field, src, row_id), amount, *said))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
     if decoder is not None and (out := list(decoder.settle())):
@@ -161,7 +177,7 @@ def common_units(rows: DataFrame) -> DataFrame:
     stated = read_statements(rows.where(F.col("device").isNotNull() & F.col("field").isin(*STATES)))
     order = ("device", "field", "stamp", "src", "row_id")
     # The exchange carries the parsed fields only.
-    narrow = stated.select("device", "field", "src", "row_id", "amount", "currency", "period", "years", "stamp")
+    narrow = stated.select("device", "field", "src", "row_id", "amount", "currency", "period", "years", "near_currency", "near_period", "stamp")
     return narrow.repartitionByRange(*order).sortWithinPartitions(*order).drop("stamp").mapInArrow(_decode, DECODED)
 
 

@@ -2,7 +2,7 @@
 
 import itertools
 import random
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -114,7 +114,7 @@ STATEMENT = "src string, row_id long, device string, field string, text string,
 
 
 def statements(spark, rows):
-    day = lambda n: datetime(2026, 1, 1 + n)
+    day = lambda n: datetime(2026, 1, 1) + timedelta(days=n)
     df = spark.createDataFrame([(s, i, d, f, x, c, day(n)) for n, (s, i, d, f, x, c) in enumerate(rows)], STATEMENT).withColumns({"amount": F.lit("clash"), "years": F.lit(0)})
     return {r["row_id"]: (r["unit"], round(r["value"], 2)) for r in quantities.common_units(df).collect()}
 
@@ -146,6 +146,64 @@ def test_viterbi_follows_a_level_through_a_unit_switch():
     assert [u for _, u, _ in out] == ["EUR/year", "EUR/year", "BGN/year", "BGN/year", "BGN/year", "EUR/year"]
 
 
+def test_viterbi_finds_units_whose_words_are_removed(spark):
+    """A series of 40 statements that changes its unit now and then; of two in three the unit words are taken away."""
+    rng = random.Random(6)
+    units = {"EUR/year": 1.0, "BGN/year": 1.95583, "EUR/semester": 0.5}
+    level, unit, rows, want = 3000.0, "EUR/year", [], {}
+    for n in range(40):
+        level *= 1 + rng.uniform(-0.02, 0.02)
+        if n % 8 == 0:
+            unit = rng.choice(sorted(units))
+        money, _, per = unit.rpartition("/")
+        said = n % 8 in (0, 4, 7)
+        rows.append(("k", n, "p", "tuition", f"{level * units[unit]:.0f}" + (f" {money} per {per}" if said else ""), None))
+        want[n] = unit
+    got = {n: u for n, (u, _) in statements(spark, rows).items()}
+    assert got == want
+
+
+def test_viterbi_by_brute_force(monkeypatch):
+    """Every path of short series: the decoder's is the cheapest, what it gives out early included.  With the last statement as level, where Viterbi is exact."""
+    monkeypatch.setattr(quantities, "FRESH", 1.0)
+    rng = random.Random(9)
+    for _ in range(40):
+        series = [(rng.choice([5, 10, 12, 60]) * rng.uniform(0.9, 1.1), None, rng.choice([None, None, "year", "semester", "month"]), rng.choice([None, "year"])) for _ in range(5)]
+        d = quantities.Decoder("duration")
+        got = []
+        for n, (amount, _, said, near) in enumerate(series):
+            got += d.push((n,), amount, None, said, 1.0, None, near)
+        got += d.settle()
+        best, best_path = None, None
+        for path in itertools.product(range(3), repeat=5):
+            cost, before, smooth = 0.0, None, None
+            for s, (amount, _, said, near) in zip(path, series, strict=True):
+                _, log, prior, *_ = d.states[s]
+                at = log + quantities.math.log(amount)
+                cost += d.evidence(None, said, None, near)[s]
+                if before is None:
+                    cost, smooth = cost + 0.9 * prior, at
+                else:
+                    cost += min(quantities.MOST, quantities.JUMP * abs(at - smooth)) + (quantities.SWITCH if s != before else 0.0)
+                    smooth = (1 - quantities.FRESH) * smooth + quantities.FRESH * at
+                before = s
+            if best is None or cost < best:
+                best, best_path = cost, path
+        told = [d.states[s][0] for s in best_path]
+        assert [u for _, u, _ in got] == told
+
+
+def test_decoder_memory_is_bounded(monkeypatch):
+    monkeypatch.setattr(quantities, "LAG", 50)
+    d = quantities.Decoder("tuition")
+    held, out = 0, []
+    for n in range(500):
+        out += d.push((n,), 1000.0, None, None, 1.0)
+        held = max(held, len(d.rows))
+    out += d.settle()
+    assert held <= 50 and [n for n, _, _ in out] == list(range(500)) and {u for _, u, _ in out} == {"EUR/year"}
+
+
 def test_equal_statements_by_brute_force(spark):
     rng = random.Random(2)
     rows = [("p", "tuition", n, round(1000 * rng.choice([1, 1.005, 1.0099, 1.02, 1.5]) * (1 + rng.random() * 0.004), 3)) for n in range(60)]
