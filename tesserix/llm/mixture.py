@@ -1,30 +1,37 @@
 """Mixing sources to target weights by weighted fair queueing.
 
 Method: every document copy gets a virtual finish time, the tokens its source
-has given up to and with it divided by the source's target weight; all copies
-are cut off at the total budget and range-sorted by it.  Documents of a source
-stand in a shuffled order (a seeded hash), a source starts again from the front
-when it runs out, at most `max_repeats` times in all.
+has given up to and with it divided by the source's target weight; the copies
+are cut off at the virtual time at which the budget is spent and range-sorted by
+it.  Documents of a source stand in a shuffled order (a seeded hash), a source
+starts again from the front when it runs out, at most `max_repeats` times in all.
+
+Since a round through a source is whole but for its last, each source has a
+number of whole rounds and a rest; only the rest needs a cut, and copies are
+written out only where they are drawn.  A document too long for what is left of
+the rest is passed over and the queue goes on behind it, until the gap is below
+GAP of the source's quota or nothing left fits.
 
 Sizes are tokens of a public tokenizer, counted once per document and kept as a
 narrow table in the shared folder.  Running totals are taken in two steps, per
 (source, slice of the hash order) and inside a slice, so that no source is held
-in one task; the cut is found from a histogram of finish times and settled
-exactly inside one of its bins.
+in one task.  Of each target one row comes to the driver.
+
+The budget: EXACT (default) is the largest total at which every source with
+documents keeps its share against the others; with a number of tokens, sources
+that come to their cap give that and the others share the rest by their weights.
 
 Defined results: documents with a null source or text, and sources without a
-target, take no part; a target without documents gets share 0; a text without
+target, take no part; a target without documents gets share 0, so that the
+others' shares are theirs of what the present ones sum to; a text without
 tokens is never drawn; targets repeated for one source count with the largest
-share; max_repeats null or below 1 counts as 1.  Without `budget_tokens` the
-total is what the sources hold, so that small ones come to their cap and the
-report shows how far they fall short; EXACT asks for the largest total at which
-every source with documents keeps its share.
+share; max_repeats null or below 1 counts as 1.
 """
 
 from __future__ import annotations
 
 import base64
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -34,8 +41,9 @@ from pyspark.sql import types as T
 from tesserix.session import write_once
 
 SLICES = 256
-BINS = 4096
 EXACT = -1
+#: Share of a source's quota that may stay open, and the most passes behind documents too long for it.
+GAP, PASSES = 0.005, 12
 #: Vocabulary file of the tokenizer package; a full path may be given instead.
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -77,70 +85,101 @@ def _targets(targets: DataFrame) -> DataFrame:
     )
 
 
+def quotas(sources: list[dict], budget: int) -> dict[str, float]:
+    """Tokens of each source (source, total, share, repeats): its weight's part of the budget, or its cap."""
+    cap = {r["source"]: float(r["repeats"] * r["total"]) for r in sources}
+    share = {r["source"]: r["share"] for r in sources}
+    if budget == EXACT:
+        time = min((cap[s] / share[s] for s in cap), default=0.0)
+        return {s: share[s] * time for s in cap}
+    out: dict[str, float] = {}
+    left, rest = float(max(budget, 0)), sorted(cap, key=lambda s: cap[s] / share[s])
+    while rest:
+        time = left / sum(share[s] for s in rest)
+        s = rest[0]
+        if cap[s] > share[s] * time:
+            return out | {x: share[x] * time for x in rest}
+        out[s] = cap[s]
+        left -= cap[s]
+        rest.pop(0)
+    return out
+
+
 class Mixture:
-    """A drawn mixture; `copies` are (doc_id, source, epoch, tokens, finish), `shares` the report."""
+    """A drawn mixture: `documents()` with their copies, `sequence()` of all copies, `shares()` as the report."""
 
     def __init__(self, docs: DataFrame, targets: DataFrame, budget_tokens: int | None = None, seed: int = 7, vocabulary: str = VOCABULARY):
-        targets = _targets(targets)
+        self.targets = _targets(targets)
         sized = docs.select("doc_id", source_name(F.col("source")).alias("source"), token_count(F.col("text"), vocabulary).alias("tokens"))
-        self.sized = write_once(sized.where("source is not null and tokens > 0"), "token-counts")
         mark = F.xxhash64(F.col("doc_id"), F.lit(seed))
-        piece = F.shiftrightunsigned(mark, 64 - 8).cast("int")  # SLICES = 256 equal slices of the shuffled order
-        rows = self.sized.withColumn("mark", mark).withColumn("slice", piece)
-        # Totals per slice, then where each slice begins: at most SLICES rows a source.
-        slices = rows.groupBy("source", "slice").agg(F.sum("tokens").alias("held"))
-        by_source = Window.partitionBy("source")
-        begin = slices.withColumn("before", F.sum("held").over(by_source.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1))).withColumn("total", F.sum("held").over(by_source))
-        begin = begin.join(targets, "source").select("source", "slice", F.coalesce("before", F.lit(0)).alias("before"), "total", "share", "repeats")
-        self.targets, self.totals = targets, begin.select("source", "total", "share", "repeats").distinct()
-        if budget_tokens is None or budget_tokens == EXACT:
-            row = self.totals.agg(F.min(F.col("repeats") * F.col("total") / F.col("share")).alias("least"), F.sum("share").alias("present"), F.sum("total").alias("held")).first()
-            budget_tokens = (row["held"] or 0) if budget_tokens is None else int((row["least"] or 0.0) * (row["present"] or 0.0))
-        self.budget = budget_tokens
-        inside = Window.partitionBy("source", "slice").orderBy("mark", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-        ends = rows.withColumn("run", F.sum("tokens").over(inside)).join(begin, ["source", "slice"])
-        copies = ends.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("repeats") - 1)))
-        finish = (F.col("epoch") * F.col("total") + F.col("before") + F.col("run")) / F.col("share")
-        copies = copies.select("doc_id", "source", "epoch", "tokens", finish.alias("finish"), "mark")
-        self.copies = self._cut(copies)
-
-    def _cut(self, copies: DataFrame) -> DataFrame:
-        # Finish times never matter beyond the budget over the smallest share present.
-        top = self.totals.agg(F.sum("share").alias("s"), F.max(F.col("repeats") * F.col("total") / F.col("share")).alias("last")).first()
-        if not top["s"] or self.budget <= 0:
-            return copies.where("false").select("doc_id", "source", "epoch", "tokens", "finish")
-        width = top["last"] / BINS
-        at = F.floor(F.col("finish") / F.lit(width)).cast("int")
-        bins = sorted((r["at"], r["held"]) for r in copies.groupBy(at.alias("at")).agg(F.sum("tokens").alias("held")).collect())  # at most BINS + 1 rows
-        spent, edge = 0, None
-        for k, held in bins:
-            if spent + held > self.budget:
-                edge = k
+        piece = F.shiftrightunsigned("mark", 64 - 8).cast("int")  # SLICES = 256 equal slices of the shuffled order
+        self.sized = write_once(sized.where("source is not null and tokens > 0").withColumn("mark", mark).withColumn("slice", piece), "token-counts")
+        self.totals = self.sized.groupBy("source").agg(F.sum("tokens").alias("total")).join(self.targets, "source")
+        held = [r.asDict() for r in self.totals.select("source", "total", "share", "repeats").collect()]  # one row a target
+        quota = quotas(held, EXACT if budget_tokens is None else budget_tokens)
+        self.budget = int(sum(quota.values())) if budget_tokens in (None, EXACT) else budget_tokens
+        self.drawn = self._draw(held, quota)
+
+    def _draw(self, held: list[dict], quota: dict[str, float]) -> DataFrame:
+        """(doc_id, source, tokens, total, share, rounds, start, finish_rest): whole rounds of the source, place in them, and the finish of the copy in the rest, if drawn."""
+        spark = self.sized.sparkSession
+        plan, left, wanted = [], {}, {}
+        for r in held:
+            q = quota[r["source"]]
+            rounds = min(int((q + 1e-6) // r["total"]), r["repeats"])
+            rest = q - rounds * r["total"] if rounds < r["repeats"] else 0.0
+            plan.append((r["source"], int(r["total"]), float(r["share"]), rounds))
+            left[r["source"]], wanted[r["source"]] = rest, q
+        known = F.broadcast(spark.createDataFrame(plan, "source string, total long, share double, rounds int"))
+        base = write_once(_running(self.sized).join(known, "source").withColumnRenamed("run", "end"), "queue")
+        parts: list[DataFrame] = []
+        given = {s: 0 for s in left}
+        behind = base
+        for turn in range(PASSES):
+            # The queue of the rest: what still fits, in the shuffled order, up to what is left.
+            open_ = [(s, float(left[s]), float(given[s])) for s in left if left[s] >= 1 and (turn == 0 or left[s] > GAP * wanted[s])]
+            if not open_:
                 break
-            spent += held
-        if edge is None:
-            return copies.select("doc_id", "source", "epoch", "tokens", "finish")
-        whole = copies.where(at < F.lit(edge))
-        order = Window.partitionBy("at").orderBy("finish", "source", "mark", "doc_id", "epoch").rowsBetween(Window.unboundedPreceding, 0)
-        last = copies.where(at == F.lit(edge)).withColumn("at", at).withColumn("so_far", F.sum("tokens").over(order)).where(F.col("so_far") + F.lit(spent) <= F.lit(self.budget))
-        keep = ["doc_id", "source", "epoch", "tokens", "finish"]
-        return whole.select(keep).unionByName(last.select(keep))
+            room = F.broadcast(spark.createDataFrame(open_, "source string, room double, given double"))
+            queue = behind.drop("run", "room", "given").join(room, "source")
+            queue = write_once(_running(queue.where("tokens <= room")), "rest") if turn else queue.withColumn("run", F.col("end"))
+            taken = queue.where("run <= room")
+            gave = {r["source"]: r["n"] for r in taken.groupBy("source").agg(F.sum("tokens").alias("n")).collect()}
+            if turn and not gave:
+                break
+            parts.append(taken.select("source", "end", ((F.col("rounds") * F.col("total") + F.col("given") + F.col("run")) / F.col("share")).alias("finish_rest")))
+            for s, n in gave.items():
+                left[s] -= n
+                given[s] += n
+            behind = queue.where("run > room")
+        drawn = base.select("doc_id", "source", "tokens", "total", "share", "rounds", "end")
+        if not parts:
+            return drawn.withColumn("finish_rest", F.lit(None).cast("double")).where("rounds > 0")
+        return drawn.join(reduce(DataFrame.unionByName, parts), ["source", "end"], "left").where("rounds > 0 or finish_rest is not null")
 
     def documents(self) -> DataFrame:
         """(doc_id, source, copies, tokens of one copy, finish of the first copy) in order of the first finish."""
-        drawn = self.copies.groupBy("doc_id", "source", "tokens").agg(F.count("*").alias("copies"), F.min("finish").alias("first_finish"))
-        return drawn.select("doc_id", "source", "copies", "tokens", "first_finish").orderBy("first_finish", "source", "doc_id")
+        copies = F.col("rounds") + F.col("finish_rest").isNotNull().cast("int")
+        first = F.when(F.col("rounds") > 0, F.col("end") / F.col("share")).otherwise(F.col("finish_rest"))
+        return self.drawn.select("doc_id", "source", copies.alias("copies"), "tokens", first.alias("first_finish")).orderBy("first_finish", "source", "doc_id")
 
     def sequence(self) -> DataFrame:
         """The mixture itself: (doc_id, source, epoch, tokens, finish) of every copy, range-sorted by finish, sources interleaved."""
-        return self.copies.orderBy("finish", "source", "doc_id", "epoch")
+        whole = F.transform(F.sequence(F.lit(1), F.col("rounds")), lambda e: F.struct((e - 1).alias("epoch"), (((e - 1) * F.col("total") + F.col("end")) / F.col("share")).alias("finish")))
+        whole = F.when(F.col("rounds") > 0, whole).otherwise(F.array().cast("array<struct<epoch:int,finish:double>>"))
+        rest = F.array(F.when(F.col("finish_rest").isNotNull(), F.struct(F.col("rounds").alias("epoch"), F.col("finish_rest").alias("finish"))))
+        copies = self.drawn.select("doc_id", "source", "tokens", F.explode(F.array_compact(F.concat(whole, rest))).alias("c"))
+        return copies.select("doc_id", "source", "c.epoch", "tokens", "c.finish").orderBy("finish", "source", "doc_id", "epoch")
 
     def shares(self) -> DataFrame:
-        """Per target source: what it holds, what it gave, the share reached and how often it was used over."""
+        """Per target source: what it holds, what it gave, the share reached, that share against the target among the sources present, and how often it was used over."""
         held = self.totals.select("source", F.col("total").alias("held_tokens"))
-        given = self.copies.groupBy("source").agg(F.sum("tokens").alias("given_tokens"), F.count("*").alias("copies"))
+        copies = F.col("rounds") + F.col("finish_rest").isNotNull().cast("int")
+        given = self.drawn.groupBy("source").agg(F.sum(F.col("tokens") * copies).alias("given_tokens"), F.sum(copies).alias("copies"))
         out = self.targets.join(held, "source", "left").join(given, "source", "left").na.fill(0, ["held_tokens", "given_tokens", "copies"])
-        total = F.sum("given_tokens").over(Window.partitionBy())
+        everything = Window.partitionBy()
+        total, present = F.sum("given_tokens").over(everything), F.sum(F.when(F.col("held_tokens") > 0, F.col("share"))).over(everything)
+        reached = F.when(total > 0, F.col("given_tokens") / total).otherwise(F.lit(0.0))
         return out.select(
             "source",
             F.col("share").alias("target_share"),
@@ -148,10 +187,19 @@ class Mixture:
             "held_tokens",
             "given_tokens",
             "copies",
-            F.when(total > 0, F.col("given_tokens") / total).otherwise(F.lit(0.0)).alias("reached_share"),
+            reached.alias("reached_share"),
+            F.when(F.col("held_tokens") > 0, reached * present / F.col("share")).alias("of_target"),
             F.when(F.col("held_tokens") > 0, F.col("given_tokens") / F.col("held_tokens")).otherwise(F.lit(0.0)).alias("times_used"),
         )
 
 
+def _running(rows: DataFrame) -> DataFrame:
+    """Adds `run`, the tokens of the source up to and with each row in the shuffled order: slice totals first, then inside each slice."""
+    slices = rows.groupBy("source", "slice").agg(F.sum("tokens").alias("held"))
+    before = F.coalesce(F.sum("held").over(Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inside = Window.partitionBy("source", "slice").orderBy("mark", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn("in_slice", F.sum("tokens").over(inside)).join(slices.select("source", "slice", before.alias("before")), ["source", "slice"]).withColumn("run", F.col("before") + F.col("in_slice")).drop("before", "in_slice")
+
+
 def mix(docs: DataFrame, targets: DataFrame, **how) -> Mixture:
     return Mixture(docs, targets, **how)

@@ -82,9 +82,9 @@ def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
     return mixture.mix(table(spark, sf, "documents"), table(spark, sf, "mixture_targets")).shares()
 
 
-def p9_exact_shares(spark: SparkSession, sf: str) -> DataFrame:
-    """Shares at the largest total at which every source with documents keeps its target."""
-    return mixture.mix(table(spark, sf, "documents"), table(spark, sf, "mixture_targets"), budget_tokens=mixture.EXACT).shares()
+def p9_capped_shares(spark: SparkSession, sf: str) -> DataFrame:
+    """Shares at a budget of a million tokens, where small sources come to their cap."""
+    return mixture.mix(table(spark, sf, "documents"), table(spark, sf, "mixture_targets"), budget_tokens=1_000_000).shares()
 
 
 def _profiles(spark: SparkSession, sf: str) -> dict:
@@ -103,7 +103,7 @@ def p10_statistics(spark: SparkSession, sf: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     names = (
         p1_found, p1_restored, p2_found, p2_bodies, p3_found, p3_cleaned, p4_found, p4_unified, p8_found, p8_report,
-        p9_mixture, p9_sequence, p9_shares, p9_exact_shares, p10_found, p10_statistics,
+        p9_mixture, p9_sequence, p9_shares, p9_capped_shares, p10_found, p10_statistics,
     )
     return {f.__name__: f for f in names}
 

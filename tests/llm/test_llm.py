@@ -255,7 +255,7 @@ def test_mixture_is_the_greedy_queue(spark):
     df = spark.createDataFrame(docs, "doc_id long, text string, source string")
     targets = spark.createDataFrame([("a", 0.7, 2), ("b", 0.3, 1)], "source string, target_share double, max_repeats int")
     m = mixture.mix(df, targets, budget_tokens=150)
-    copies = sorted(m.copies.collect(), key=lambda r: r["finish"])
+    copies = m.sequence().collect()
     assert sum(r["tokens"] for r in copies) <= 150
     seen = Counter()
     for r in copies:
@@ -368,6 +368,26 @@ def test_neighbours_count_with_each_renderer(spark):
     assert furniture_of(df, renderer="r") == {(1, 4), (3, 4)}
 
 
+def test_a_long_document_does_not_stop_its_source(spark):
+    docs = [(k, "word " * 20, "ab"[k % 2]) for k in range(400)] + [(1000 + k, "word " * 3000, "a") for k in range(40)] + [(0, "word " * 20, "a")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 1)], "source string, target_share double, max_repeats int")
+    m = mixture.mix(df, targets)
+    report = {r["source"]: r for r in m.shares().collect()}
+    assert report["a"]["of_target"] == pytest.approx(1, abs=0.02) and report["b"]["of_target"] == pytest.approx(1, abs=0.02)
+    copies = m.sequence().collect()
+    assert len(copies) == sum(r["copies"] for r in m.documents().collect()) and sum(r["tokens"] for r in copies) == sum(r["given_tokens"] for r in report.values())
+
+
+def test_quotas_fill_the_budget():
+    held = [{"source": s, "total": t, "share": w, "repeats": n} for s, t, w, n in (("a", 100, 0.5, 1), ("b", 1000, 0.3, 2), ("c", 10_000, 0.2, 1))]
+    for budget in (50, 500, 5000, 20_000):
+        got = mixture.quotas(held, budget)
+        assert sum(got.values()) == pytest.approx(min(budget, 12_100)) and all(got[r["source"]] <= r["total"] * r["repeats"] + 1e-6 for r in held)
+    exact = mixture.quotas(held, mixture.EXACT)
+    assert [round(exact[s]) for s in "abc"] == [100, 60, 40] and mixture.quotas([], mixture.EXACT) == {} and sum(mixture.quotas(held, 0).values()) == 0
+
+
 def test_mixture_comes_out_in_order_of_finish(spark):
     docs = spark.createDataFrame([(k, "ab"[k % 2], "word " * (k * 7 % 11 + 1)) for k in range(60)], "doc_id long, source string, text string").repartition(6)
     targets = spark.createDataFrame([("a", 0.7, 3), ("b", 0.3, 2)], "source string, target_share double, max_repeats int")
