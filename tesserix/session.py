@@ -24,10 +24,15 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A new folder's path in the shared folder."""
+    return f"{shared_dir(spark).rstrip('/')}/tesserix/{name}-{uuid.uuid4().hex}"
+
+
 def write_once(df: DataFrame, name: str) -> DataFrame:
     """Writes df to a table in the shared folder and reads it back: lineage is cut, the copy survives executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/tesserix/{name}-{uuid.uuid4().hex}"
+    path = fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
