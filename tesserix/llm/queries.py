@@ -38,15 +38,14 @@ def p2_bodies(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
-    return sitelines.frequent_lines(table(spark, sf, "artifacts"), "artifact_id", "text", "source_ref", "rendered_at").select(F.col("doc").alias("artifact_id"), "line_no")
+    return sitelines.frequent_lines(table(spark, sf, "artifacts"), "artifact_id", "text", "source_ref").select(F.col("doc").alias("artifact_id"), "line_no")
 
 
 def p3_cleaned(spark: SparkSession, sf: str) -> DataFrame:
-    """The texts that held frequent lines, without them."""
+    """The texts that held frequent lines, without them: all are rebuilt, for on a fresh state every frequent line has crossed."""
     docs = table(spark, sf, "artifacts")
-    counts = sitelines.count_lines(docs, "artifact_id", "text", "source_ref", "rendered_at")
-    crossed = counts.frequent().select("site", "key", F.lit(True).alias("frequent"))
-    return sitelines.without_lines(docs, "artifact_id", "text", "source_ref", crossed).select(F.col("doc").alias("artifact_id"), "cleaned")
+    counts, crossed = sitelines.count_lines(docs, "artifact_id", "text", "source_ref")
+    return sitelines.without_lines(docs, "artifact_id", "text", "source_ref", crossed, counts).select(F.col("doc").alias("artifact_id"), "cleaned")
 
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:

@@ -128,21 +128,31 @@ def pages_table(spark, n=12):
 
 def test_frequent_lines(spark):
     df = pages_table(spark)
-    for stamp in (None, "stamp"):
-        got = {(r["doc"], r["line_no"]) for r in sitelines.frequent_lines(df, "id", "text", "url", stamp).collect()}
-        assert got == {(k, 2) for k in range(12)}
-    assert sitelines.frequent_lines(df.where("false"), "id", "text", "url", "stamp").count() == 0
+    for rows in (df, df.unionByName(df)):  # rows repeated whole count once
+        got = [(r["doc"], r["line_no"]) for r in sitelines.frequent_lines(rows, "id", "text", "url").collect()]
+        assert sorted(got) == [(k, 2) for k in range(12)]
+    assert sitelines.frequent_lines(df.where("false"), "id", "text", "url").count() == 0
 
 
-def test_lines_that_cross_later(spark):
+def test_lines_that_cross_later(spark, tmp_path):
     df = pages_table(spark)
-    docs = sitelines._documents(df, "id", "text", "url")
-    counts = sitelines.LineCounts()
-    assert counts.merge(docs.where("doc < 3")).count() == 0
-    crossed = counts.merge(docs.where("doc >= 3"))
-    assert [r["frequent"] for r in crossed.collect()] == [True]
-    cleaned = {r["doc"]: r["cleaned"] for r in sitelines.without_lines(df, "id", "text", "url", crossed).collect()}
+    path = str(tmp_path / "kept")
+    first = df.where("id < 3 or id >= 100")
+    assert sitelines.count_lines(first, "id", "text", "url", path)[1].count() == 0
+    # Opened again: the delta, one document delivered again among it, is counted on top.
+    counts, crossed = sitelines.count_lines(df.where("id between 2 and 11"), "id", "text", "url", path)
+    assert [(r["site"], r["frequent"]) for r in crossed.collect()] == [("site.example", True)]
+    assert {r["site"]: r["docs"] for r in counts.sites().collect()} == {"site.example": 12, "other.example": 1}
+    assert counts.holds and set(counts.holds.values()) <= {1, 2} and counts.version == 2
+    cleaned = {r["doc"]: r["cleaned"] for r in sitelines.without_lines(df, "id", "text", "url", crossed, counts).collect()}
     assert len(cleaned) == 12 and cleaned[5] == "unique 5\n\n"
+    # Nothing crosses when the same documents come once more; a site of its own touches its own bucket only.
+    counts, crossed = sitelines.count_lines(df, "id", "text", "url", path)
+    assert crossed.count() == 0 and counts.frequent().count() == 1
+    more = spark.createDataFrame([(1000 + k, "https://site.example/z", f"other {k}") for k in range(200)], "id long, url string, text string")
+    counts, crossed = sitelines.count_lines(more, "id", "text", "url", path)
+    assert [r["frequent"] for r in crossed.collect()] == [False] and counts.frequent().count() == 0
+    assert len(set(counts.holds.values())) == 2
 
 
 # ---- boilerplate
