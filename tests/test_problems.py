@@ -61,6 +61,36 @@ def test_changes_by_brute_force(spark):
     assert [r[:5] for r in changes(spark, rows)] == sorted(want)
 
 
+def test_kept_snapshots_give_the_same_changes(spark, tmp_path):
+    """Runs delivered in parts, the state opened anew each time: together the changes of the whole history."""
+    rng = random.Random(12)
+    rows, n = [], 0
+    for day in range(1, 9):
+        for site in "ABC":
+            for p in rng.sample(range(12), rng.randrange(0, 12)):
+                for _ in range(rng.choice([1, 1, 2])):
+                    n += 1
+                    rows.append((n, site, f"{site}-202601{day:02d}T000000Z-{day}", f"p{p} Ж"[: rng.choice([2, 4])], "degree", "2025/2026", rng.choice(["a", "b ", None])))
+    whole = changes(spark, rows)
+    path, parts = str(tmp_path / "kept"), []
+    for days in ((1, 2, 3), (4,), (), (5, 6, 7, 8)):
+        part = [r for r in rows if int(r[2][8:10]) in days]
+        got = snapshot_changes.SnapshotStore(spark, path).advance(spark.createDataFrame(part, LEDGER))
+        parts += [tuple(r) for r in got.drop("site").collect()]
+    assert sorted(map(str, parts)) == sorted(map(str, whole)) and len(whole) > 50
+    again = snapshot_changes.SnapshotStore(spark, path)
+    assert again.version == 4 and again.advance(spark.createDataFrame(rows, LEDGER)).count() == 0  # all too late
+
+
+def test_two_pointers_by_brute_force():
+    rng = random.Random(4)
+    for _ in range(200):
+        a, b = ({k: rng.choice([None, "x", "y"]) for k in rng.sample(range(9), rng.randrange(9))} for _ in range(2))
+        got = list(snapshot_changes.two_pointers(sorted(a.items()), sorted(b.items())))
+        want = [(k, "removed", a[k], None) for k in a if k not in b] + [(k, "added", None, b[k]) for k in b if k not in a] + [(k, "changed", a[k], b[k]) for k in a if k in b and a[k] != b[k]]
+        assert sorted(got, key=lambda r: r[0]) == sorted(want, key=lambda r: r[0]) and [r[0] for r in got] == sorted(r[0] for r in got)
+
+
 def test_range_merge_has_one_range_exchange_and_no_cross_join(spark):
     df = spark.createDataFrame([(1, "U", "U-20260101T000000Z-1", "p", "f", "2025/2026", "v")], LEDGER)
     plan = snapshot_changes.snapshot_changes(df)._jdf.queryExecution().executedPlan().toString()
