@@ -48,7 +48,7 @@ from tesserix.session import fresh_path
 
 MIN_WORDS = 12
 #: Words of a query at most.
-WINDOW = 48
+WINDOW = 16
 BLOCK_WORDS = 1_000_000
 #: Blocks of the index that a worker holds; further ones are read again for every CORPUS_PART characters of documents.
 HELD = 4
