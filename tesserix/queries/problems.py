@@ -9,14 +9,6 @@ from tesserix.functions.quantity import key_id, key_name
 from tesserix.operators import quantities, snapshot_changes, wide_table
 from tesserix.session import table, write_once
 
-#: Declared types of the answer key's attributes; others are discovered.
-KEY_TYPES = {
-    "credits": "integer", "seats": "integer", "min_score": "decimal", "accredited_until": "date", "start_date": "date",
-    "distance": "boolean", "duration": "quantity", "tuition": "quantity", "degree": "string", "language": "string",
-    "admission": "string", "campus": "string",
-}
-
-
 def _statements(spark: SparkSession, sf: str) -> DataFrame:
     k = table(spark, sf, "answer_key").select(F.lit("answer_key").alias("src"), F.col("entry_id").alias("row_id"), "program_id", "field", F.col("expected_value").alias("text"), F.col("snippet").alias("context"), F.col("labelled_at").alias("stamp"))
     v = table(spark, sf, "verdicts").select(F.lit("verdicts").alias("src"), F.col("verdict_id").alias("row_id"), "program_id", "field", F.col("shipped_value").alias("text"), F.col("note").alias("context"), F.col("judged_at").alias("stamp"))
@@ -50,7 +42,7 @@ def _cells(spark: SparkSession, sf: str) -> DataFrame:
 
 def _wide(spark: SparkSession, sf: str) -> tuple[DataFrame, dict[str, str]]:
     cells = _cells(spark, sf)
-    types = wide_table.discover(cells, KEY_TYPES)
+    types = wide_table.discover(cells)
     return wide_table.widen(cells, types), types
 
 
@@ -92,7 +84,7 @@ WITH l AS (
   FROM a FULL JOIN b ON a.site = b.site AND a.run_id = b.run_id AND a.program_id = b.program_id AND a.field = b.field AND a.academic_year = b.academic_year
 )
 """
-_LATEST_CELLS = """
+_TYPED_CELLS = """
 WITH k AS (
   SELECT lower(trim(program_id)) AS program_id, regexp_replace(lower(trim(field)), '[\\s\\-]+', '_', 'g') AS field, trim(regexp_replace(expected_value, '\\s+', ' ', 'g')) AS v, labelled_at, entry_id FROM answer_key
 ), t AS (
@@ -108,7 +100,8 @@ WITH k AS (
     WHEN 'септември' THEN 9 WHEN 'september' THEN 9 WHEN 'sep' THEN 9 WHEN 'октомври' THEN 10 WHEN 'october' THEN 10 WHEN 'oct' THEN 10
     WHEN 'ноември' THEN 11 WHEN 'november' THEN 11 WHEN 'nov' THEN 11 WHEN 'декември' THEN 12 WHEN 'december' THEN 12 WHEN 'dec' THEN 12 END AS mon FROM f
 )
-SELECT program_id, field FROM m WHERE CASE
+"""
+_LATEST_CELLS = _TYPED_CELLS + """SELECT program_id, field FROM m WHERE CASE
   WHEN field IN ('credits', 'seats') THEN regexp_matches(v, '^\\d+([.,]0+)?( ?[A-Za-zА-Яа-я.]+){0,2}$')
   WHEN field = 'min_score' THEN regexp_matches(v, '^\\d+([.,]\\d+)?( ?[A-Za-zА-Яа-я.]+){0,2}$')
   WHEN field = 'distance' THEN lower(v) IN ('yes', 'true', '1', 'да', 'y', 'no', 'false', '0', 'не', 'n')
@@ -123,7 +116,26 @@ SELECT program_id, field FROM m WHERE CASE
   ELSE true END
 """
 
+_DATE = """CASE WHEN regexp_matches(d, '^\\d{4}-\\d{1,2}-\\d{1,2}$') THEN try_cast(d AS DATE)
+    WHEN regexp_matches(d, '^\\d{1,2}[./]\\d{1,2}[./]\\d{4}$') THEN CAST(try_strptime(replace(d, '/', '.'), '%d.%m.%Y') AS DATE)
+    WHEN regexp_matches(d, '^\\d{1,2} [a-zа-я]+ \\d{4}$') THEN CAST(try_strptime(regexp_extract(d, '^\\d+') || '.' || mon || '.' || regexp_extract(d, '\\d{4}$'), '%d.%m.%Y') AS DATE)
+    WHEN regexp_matches(d, '^[a-zа-я]+ \\d{1,2}, \\d{4}$') THEN CAST(try_strptime(regexp_extract(d, ' (\\d+),', 1) || '.' || mon || '.' || regexp_extract(d, '\\d{4}$'), '%d.%m.%Y') AS DATE) END"""
+_UNIT = "( ?[A-Za-zА-Яа-я.]+){0,2}$'"
+_CELL = {
+    **{f: f"try_cast(CASE WHEN regexp_matches(v, '^\\d+([.,]0+)?{_UNIT}) THEN regexp_extract(v, '^\\d+') END AS BIGINT)" for f in ("credits", "seats")},
+    "min_score": f"try_cast(CASE WHEN regexp_matches(v, '^\\d+([.,]\\d+)?{_UNIT}) THEN replace(regexp_extract(v, '^\\d+([.,]\\d+)?'), ',', '.') END AS DECIMAL(18, 4))",
+    "distance": "CASE WHEN lower(v) IN ('yes', 'true', '1', 'да', 'y') THEN true WHEN lower(v) IN ('no', 'false', '0', 'не', 'n') THEN false END",
+    **dict.fromkeys(("accredited_until", "start_date"), _DATE),
+    "tuition": "CASE WHEN regexp_matches(v, '\\d') AND regexp_matches(lower(v), '€|eur|евро|bgn|lv|leva|лв|лева|^[\\d .,]+$') THEN v END",
+    "duration": "CASE WHEN regexp_matches(lower(v), 'годин|годиш|семест|сем\\.|месец|мес\\.|г\\.|year|semest|month') THEN v END",
+    **dict.fromkeys(("admission", "campus", "degree", "language"), "v"),
+}
+
 ORACLE = {
+    "p7_wide": _TYPED_CELLS
+    + "SELECT k.program_id, "
+    + ", ".join(f"any_value({cell}) FILTER (WHERE m.field = '{f}') AS {f}" for f, cell in _CELL.items())
+    + " FROM (SELECT DISTINCT program_id FROM t WHERE program_id IS NOT NULL) k LEFT JOIN m ON m.program_id = k.program_id GROUP BY k.program_id",
     "p6_found": _RUNS + "SELECT run_id, program_id, field, academic_year, change FROM c WHERE change IS NOT NULL",
     "p6_changes": _RUNS + "SELECT run_id, program_id, field, academic_year, change, old_value, new_value FROM c WHERE change IS NOT NULL",
     "p7_found": _LATEST_CELLS,
