@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +38,17 @@ def pin(url: Column) -> Column:
     return F.when(version.isNotNull(), F.struct(F.try_url_decode(F.try_parse_url(url, F.lit("QUERY"), F.lit("code"))).alias("code"), F.try_url_decode(version).alias("version")))
 
 
+def pinned_sources(programs: DataFrame, others: DataFrame | None = None) -> DataFrame:
+    """(path, url, code, version) of every pinned address: a programme's page columns, its extra pages, and `others` (path, url) such as anchors and shared sources; the path is where to change it."""
+    parts = [] if others is None else [others.select("path", "url")]
+    for name in ("page", "lang_page", "adm_page", "tuition_page", "extra_pages"):
+        if name in programs.columns:
+            one = F.col(name) if dict(programs.dtypes)[name].startswith("array") else F.array(name)
+            parts.append(programs.select(F.concat(F.lit("programs."), F.col("program_id"), F.lit(f".{name}")).alias("path"), F.explode(one).alias("url")))
+    rows = reduce(DataFrame.unionByName, parts).where("url is not null").withColumn("pin", pin(F.col("url")))
+    return rows.where("pin.version is not null").select("path", "url", "pin.code", "pin.version")
+
+
 def version_drift(pinned: DataFrame, listing: DataFrame) -> DataFrame:
     """Pinned addresses (path, url) whose version the listing (code, version) doesn't have as current: superseded, or unknown."""
     pins = pinned.withColumn("pin", pin(F.col("url"))).where("pin.code is not null").select("path", "url", F.col("pin.code").alias("code"), F.col("pin.version").alias("pinned"))

@@ -116,7 +116,7 @@ def sectioned_fees(lines: DataFrame, sections: list[tuple[str, str, bool]], alia
     hits = placed.withColumn("fee", fee).where("fee <> ''").join(aliases, "ref").where(F.regexp_like("line", F.col("alias_pattern")))
     per = hits.groupBy("program_id", "ref").agg(
         F.min(F.struct("t", "r", "fee", "line", F.col("section.track").alias("track"))).alias("h"),
-        F.array_sort(F.collect_set(F.when(~F.col("section.foreign"), F.col("section.track")))).alias("tracks"),
+        F.array_distinct(F.transform(F.array_sort(F.collect_list(F.when(~F.col("section.foreign"), F.struct("t", "r", F.col("section.track").alias("track"))))), lambda x: x["track"])).alias("tracks"),
     )
     joined = per.select("program_id", "ref", "h.*", "tracks").join(headers, ["ref", "track"], "left")
     return joined.select("program_id", "ref", F.concat_ws(" ", "fee", F.lit(suffix)).alias("value"), F.array_compact(F.array("header", "line")).alias("segments"), F.array_join("tracks", "; ").alias("tracks"))

@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from tesserix.functions.text import base_name, extract, norm, quoted, snippet_around
 
 MAX_SPAN = 400
+# A language in a programme's name, and the sentence that states a degree before the programme's name.
+LANGUAGE_IN_NAME = r"((?:с частично обучение )?на английски език)"
+DEGREE_SENTENCE = r'(?iu)придобиват\s+(?:образователната|образователно-квалификационна)\s+степен\s*[„"«“]\s*([а-я][а-я ]*?)\s*[“”"»]\s*по\s+специалност(?:та)?\s*[„"«“]?\s*'
 # Label patterns per field, in order of preference; group 1 is the value.
 LABEL_PATTERNS = {
     "degree": (
@@ -61,13 +64,13 @@ LABEL_PATTERNS = {
 }
 
 
-def harvest_fields(texts: DataFrame, patterns: dict[str, Iterable[tuple[str, str]]] | None = None, skip: str | None = None, max_span: int = MAX_SPAN) -> DataFrame:
+def harvest_fields(texts: DataFrame, patterns: dict[str, Iterable[tuple[str, str]]] | None = None, skip: str | None = None, max_span: int = MAX_SPAN, keep: tuple[str, ...] = ()) -> DataFrame:
     """(ref, field, value, segments, method, tier) of the texts (ref, text[, skip]): per field the first pattern with a short enough value.
 
     Only a pattern's first match counts: if its value is longer than max_span the
     next pattern is tried, not the next match.  `skip` names a column of labels not
     to try.  All fields are read in one pass: every pattern is searched once per
-    text, its match looked up again only where it holds.
+    text, its match looked up again only where it holds.  Columns of `keep` pass on.
     """
     every = {f: list(p) for f, p in (patterns or LABEL_PATTERNS).items()}
     normed = texts.withColumn("__text", norm(F.col("text")))
@@ -86,8 +89,8 @@ def harvest_fields(texts: DataFrame, patterns: dict[str, Iterable[tuple[str, str
             around = snippet_around(F.col("__text"), at, at + F.length(whole))
             out = F.when(ok, F.struct(F.lit(f).alias("field"), norm(value).alias("value"), around.alias("snippet"), F.lit(f"label:{label}").alias("method"))).otherwise(out)
         hits.append(out)
-    found = searched.select("ref", F.explode(F.filter(F.array(*hits), lambda x: x.isNotNull())).alias("hit"))
-    return found.select("ref", "hit.field", "hit.value", F.array("hit.snippet").alias("segments"), "hit.method", F.lit("G").alias("tier"))
+    found = searched.select("ref", *keep, F.explode(F.filter(F.array(*hits), lambda x: x.isNotNull())).alias("hit"))
+    return found.select("ref", *keep, "hit.field", "hit.value", F.array("hit.snippet").alias("segments"), "hit.method", F.lit("G").alias("tier"))
 
 
 def harvest_field(texts: DataFrame, field: str, patterns: Iterable[tuple[str, str]] | None = None, skip: str | None = None) -> DataFrame:
@@ -103,7 +106,7 @@ def without_suppressed(hits: DataFrame, suppressed: DataFrame) -> DataFrame:
 
 def language_from_name(name: Column, text: Column) -> Column:
     """struct(value, snippet): a language stated in the name itself, with the place in the text where the name stands (its start if nowhere)."""
-    value = F.regexp_extract(name, r"((?:с частично обучение )?на английски език)", 1)
+    value = F.regexp_extract(name, LANGUAGE_IN_NAME, 1)
     at = F.greatest(F.instr(text, F.substring_index(name, " (", 1)), F.lit(1))
     first = F.greatest(at - 60, F.lit(1))
     return F.when(value != "", F.struct(value.alias("value"), norm(F.substring(text, first, at + F.length(name) + 60 - first)).alias("snippet")))
@@ -111,11 +114,16 @@ def language_from_name(name: Column, text: Column) -> Column:
 
 def degree_from_name(name: Column, text: Column) -> Column:
     """The degree of a sentence that names the programme; null where there is none."""
-    sentence = r'(?iu)придобиват\s+(?:образователната|образователно-квалификационна)\s+степен\s*[„"«“]\s*([а-я][а-я ]*?)\s*[“”"»]\s*по\s+специалност(?:та)?\s*[„"«“]?\s*'
-    found = extract(text, F.concat(F.lit(sentence), quoted(name)), 1)
+    found = extract(text, F.concat(F.lit(DEGREE_SENTENCE), quoted(name)), 1)
     return F.when(found != "", norm(found))
 
 
+def degree_sentence(name: Column, text: Column) -> Column:
+    """struct(value, snippet): the degree of a sentence that names the programme, with that sentence's words; null where there is none."""
+    pattern = F.concat(F.lit(DEGREE_SENTENCE), quoted(name))
+    return F.when(extract(text, pattern, 1) != "", F.struct(norm(extract(text, pattern, 1)).alias("value"), norm(extract(text, pattern, 0)).alias("snippet")))
+
+
 def anchor_value(text: Column, pattern: Column, names_program: Column | None = None) -> Column:
     """Group 1 of a configured pattern, on pages that name the programme where that is asked."""
     found = extract(text, pattern, 1)

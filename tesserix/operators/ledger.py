@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+from datetime import UTC, datetime
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +36,49 @@ def academic_year_in(value: Column, segments: Column) -> Column:
     return F.when(stated != "", F.regexp_replace(stated, r"\s", ""))
 
 
+#: Fields whose values change from year to year.
+YEARLY = ("tuition", "admission")
+
+
+def inferred_year(field: Column, value: Column, segments: Column, fallback: Column) -> Column:
+    """The year a yearly field's value or segments state, else the run's; null fields are searched too."""
+    return F.when(field.isNotNull() & ~field.isin(*YEARLY), fallback).otherwise(F.coalesce(academic_year_in(value, segments), fallback))
+
+
+def run_summaries(ledger: DataFrame) -> DataFrame:
+    """(uni_id, run_id, rows, filled, programs, academic_years): one row per run of what it wrote."""
+    runs = ledger.groupBy("uni_id", "run_id")
+    return runs.agg(F.count("*").alias("rows"), F.count("value").alias("filled"), F.count_distinct("program_id").alias("programs"), F.count_distinct("academic_year").alias("academic_years"))
+
+
+def new_run_id(uni_id: str) -> str:
+    """`<uni_id>-<UTC time>-<hex>`."""
+    return f"{uni_id}-{datetime.now(UTC):%Y%m%dT%H%M%SZ}-{uuid.uuid4().hex[:8]}"
+
+
+class Pointer:
+    """Which run of a site is current: moves are appended, the last one holds, so moving it back is a rollback."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def _moves(self) -> DataFrame | None:
+        try:
+            return self.spark.read.parquet(self.path)
+        except AnalysisException:
+            return None
+
+    def move(self, uni_id: str, run_id: str) -> None:
+        moves = self._moves()
+        n = 0 if moves is None else moves.agg(F.max("n")).first()[0]
+        self.spark.createDataFrame([(uni_id, run_id, n + 1)], "uni_id string, run_id string, n long").coalesce(1).write.mode("append").parquet(self.path)
+
+    def current(self, uni_id: str) -> str | None:
+        moves = self._moves()
+        last = None if moves is None else moves.where(F.col("uni_id") == uni_id).agg(F.max_by("run_id", "n").alias("run_id")).first()
+        return last["run_id"] if last else None
+
+
 def expected_year(day: Column) -> Column:
     """The academic year a day falls in; years begin in July."""
     first = F.year(day) - F.when(F.month(day) >= 7, 0).otherwise(1)

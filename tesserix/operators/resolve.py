@@ -23,7 +23,7 @@ def program_addresses(programs: DataFrame) -> DataFrame:
     parts = []
     for k, (name, _) in enumerate(ROUTES):
         one = F.col(name) if dict(programs.dtypes)[name].startswith("array") else F.array(name)
-        parts.append(programs.select("program_id", F.lit(name).alias("route"), F.posexplode(one).alias("n", "url")).select("program_id", "route", (F.lit(k * 1000) + F.col("n")).alias("place"), "url"))
+        parts.append(programs.select("program_id", F.lit(name).alias("route"), F.posexplode(one).alias("n", "url")).select("program_id", "route", (F.lit(k * 1_000_000) + F.col("n")).alias("place"), "url"))
     return reduce(DataFrame.unionByName, parts).where("url is not null")
 
 
@@ -62,6 +62,12 @@ def every_cell(programs: DataFrame, fields: list[str], winners: DataFrame) -> Da
     return cells.join(winners, ["program_id", "field"], "left")
 
 
+def unconfigured(candidates: DataFrame, programs: DataFrame) -> DataFrame:
+    """Candidate pages (url, ...) whose address no programme has, however it is written."""
+    known = program_addresses(programs).select(address_key(F.col("url")).alias("address")).where("address is not null").distinct()
+    return candidates.withColumn("address", address_key(F.col("url"))).join(known, "address", "left_anti")
+
+
 def worksheet_groups(programs: DataFrame) -> DataFrame:
     """(address, programs): names of the programmes of each page in order of their ids."""
     rows = programs.select(address_key(F.col("page")).alias("address"), "program_id", "name").where("address is not null")

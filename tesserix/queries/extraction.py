@@ -9,6 +9,7 @@ from tesserix.functions import text as t
 from tesserix.functions.quantity import key_id, key_name
 from tesserix.functions.urls import path_of, site_of
 from tesserix.operators import drift, gate, grade, grid, labels, ledger, region, resolve, tail
+from tesserix.operators.snapshot_changes import year_key
 from tesserix.plans import extraction
 from tesserix.session import table
 from tesserix.sources import manifest, pages
@@ -244,7 +245,7 @@ def _last_runs(spark, sf):
 
 def _run_rows(spark, sf, which):
     runs = _last_runs(spark, sf).select(F.col(which).alias("run_id"))
-    rows = table(spark, sf, "ledger").join(runs, "run_id").select(key_id(F.col("program_id")).alias("program_id"), key_id(F.col("field")).alias("field"), F.col("academic_year"), "ledger_seq", "value")
+    rows = table(spark, sf, "ledger").join(runs, "run_id").select(key_id(F.col("program_id")).alias("program_id"), key_id(F.col("field")).alias("field"), year_key(F.col("academic_year")).alias("academic_year"), "ledger_seq", "value")
     return rows.groupBy("program_id", "field", "academic_year").agg(F.max_by("value", "ledger_seq").alias("value"))
 
 

@@ -87,10 +87,55 @@ _ADDR_ROWS = f"""
   UNION ALL SELECT program_id, 'tuition_page', 3000, tuition_page FROM programs
 """
 _ADDRESSES = f"a AS (SELECT *, {_address('url')} AS address FROM ({_ADDR_ROWS}) WHERE url IS NOT NULL)"
-_RUN = """
+def _labelled(value: str, whole: str, field: str, method: str) -> str:
+    """A label's claim: its value and the text around its match, from rows with x."""
+    at = f"(strpos(x, {whole}) - 1)"
+    first = f"greatest({at} - 90, 0)"
+    around = _norm(f"substr(x, {first} + 1, {at} + length({whole}) + 90 - {first})")
+    return f"'{field}' AS field, {_norm(value)} AS value, {around} AS segment, 'label:{method}' AS method"
+
+
+def _said(pattern: str, group: int) -> str:
+    return f"regexp_extract(x, '{pattern}', {group})"
+
+
+_LABELS = (
+    ("degree", (("bg-degree", "Степен: ([^;.]+)"), ("en-degree", "Degree: ([^;.]+)"))),
+    ("duration", (("bg-duration", "Срок на обучение: ([^;]+?)[.;]"), ("en-duration", "Duration: ([^;]+?)[.;]"))),
+    ("tuition", (("bg-fee", "Такса: ([^;]+?)(?:;|\\.?$|\\. )"), ("en-fee", "Tuition: ([^;]+?)(?:;|\\.?$|\\. )"))),
+)
+def harvested_of(rows: str, columns: str) -> str:
+    """Claims of the fact labels over rows that have x, the text with blanks made one; their `columns` pass on."""
+    return " UNION ALL ".join(
+        f"SELECT {columns}, {_labelled(_said(p, 1), _said(p, 0), field, name)} FROM {rows} WHERE length({_said(p, 1)}) BETWEEN 1 AND 400" + "".join(f" AND NOT length({_said(q, 1)}) BETWEEN 1 AND 400" for _, q in own[:k])
+        for field, own in _LABELS
+        for k, (name, p) in enumerate(own)
+    )
+
+
+def gate_of(claims: str) -> str:
+    """Rows of claims (value, segment, body, ...) with their status."""
+    return f"""SELECT *, CASE WHEN value IS NULL THEN 'NULL_OK'
+      WHEN v = '' OR NOT (regexp_matches(v, '\\d') OR len(list_filter({_CUR}, lambda c: contains(v, c))) > 0 OR len({_words('v')}) > 0) THEN 'PARSE_FAILURE'
+      WHEN NOT contains(body, s) THEN 'REJECT_CONTAINMENT' WHEN len({_missing('v', 's', '[s]')}) > 0 THEN 'REJECT_SUPPORT' ELSE 'PASS' END AS status
+      FROM (SELECT *, {_form('value')} AS v, {_form('segment')} AS s FROM {claims})"""
+
+
+def latest() -> str:
+    return _LATEST
+
+
+def addresses() -> str:
+    return _ADDRESSES
+
+
+norm_sql, form, address = _norm, _form, _address
+_Y1, _Y2 = "regexp_extract(academic_year, '(\\d{4})', 1)", "regexp_extract(academic_year, '\\d{4}\\D+(\\d{2,4})\\s*$', 1)"
+_YEAR = f"CASE WHEN {_Y1} = '' THEN trim(academic_year) ELSE {_Y1} || '/' || CASE WHEN length({_Y2}) = 4 THEN {_Y2} WHEN length({_Y2}) = 2 THEN substr({_Y1}, 1, 2) || {_Y2} ELSE CAST(CAST({_Y1} AS INTEGER) + 1 AS VARCHAR) END END"
+_RUN = f"""
 r AS (SELECT uni_id, max(run_id) AS last, min(run_id) AS first FROM ledger GROUP BY uni_id),
-f AS (SELECT lower(trim(program_id)) AS program_id, lower(trim(field)) AS field, academic_year, arg_max(value, ledger_seq) AS value FROM ledger JOIN r ON run_id = r.first GROUP BY ALL),
-l AS (SELECT lower(trim(program_id)) AS program_id, lower(trim(field)) AS field, academic_year, arg_max(value, ledger_seq) AS value FROM ledger JOIN r ON run_id = r.last GROUP BY ALL)
+f AS (SELECT lower(trim(program_id)) AS program_id, lower(trim(field)) AS field, {_YEAR} AS academic_year, arg_max(value, ledger_seq) AS value FROM ledger JOIN r ON run_id = r.first GROUP BY ALL),
+l AS (SELECT lower(trim(program_id)) AS program_id, lower(trim(field)) AS field, {_YEAR} AS academic_year, arg_max(value, ledger_seq) AS value FROM ledger JOIN r ON run_id = r.last GROUP BY ALL)
 """
 _DIFF = f"""
 WITH {_RUN}, c AS (
@@ -142,6 +187,7 @@ ORACLE = {
     "replay_misses": _FETCHES + f", {_ADDRESSES}, w AS (SELECT address, arg_min(url, lpad(CAST(place AS VARCHAR), 6, '0') || url) AS url FROM a WHERE address IS NOT NULL GROUP BY address) SELECT url FROM w WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.url = w.url AND {_COOKIES} = '' AND {_USABLE})",
     "routes": "SELECT CASE WHEN lower(content_type) LIKE '%html%' OR lower(content_type) LIKE 'text/%' THEN 'html' WHEN lower(content_type) LIKE '%pdf%' THEN 'prose-pdf' ELSE 'none' END AS route, count(*) AS n FROM snapshots GROUP BY 1",
     "retries": f"SELECT status, count(*) FILTER (WHERE coalesce(status >= 500, false) OR coalesce(lower(error) LIKE '%timeout%' OR lower(error) LIKE '%timed out%', false)) AS retried, count(*) FILTER (WHERE {_USABLE}) AS usable FROM snapshots GROUP BY status",
+    "flagship": f"WITH d AS (SELECT {_norm('text')} AS x, {_form('text')} AS body FROM artifacts WHERE text IS NOT NULL), c AS ({harvested_of('d', 'body')}), g AS ({gate_of('c')}) SELECT field, status, count(*) AS n FROM g GROUP BY field, status",
     "label_harvest": f"WITH {_HARVESTED} SELECT * FROM hits",
     "suppress_labels": f"""WITH {_HARVESTED}, d AS ({_LATEST}), o AS (SELECT program_id, 'artifact:' || artifact_id AS ref FROM programs JOIN d ON {_address('page')} = d.address)
       SELECT program_id, field, ref, value, method FROM hits JOIN o USING (ref)
@@ -159,7 +205,7 @@ ORACLE = {
       s AS (SELECT verdict_id, lower(trim(program_id)) AS p, lower(trim(field)) AS f, {_form('shipped_value')} AS s FROM verdicts), j AS (SELECT * FROM k JOIN s USING (p, f) WHERE s <> '')
       SELECT entry_id, verdict_id FROM j WHERE len({_missing('e', 's', '[s]')}) = 0 AND (regexp_matches(e, '\\d') OR len(list_filter({_CUR}, lambda c: contains(e, c))) > 0 OR len({_words('e')}) > 0)""",
     "table_cells": "WITH r AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(0, len(string_split(text, chr(10))))) AS r FROM documents WHERE contains(text, chr(9))) SELECT doc_id, sum(len(string_split(line, chr(9)))) AS cells, max(r) AS last_row, max(len(string_split(line, chr(9)))) - 1 AS last_column FROM r GROUP BY doc_id",
-    "grid_text": _CELLS + "SELECT p_brand AS ref, 'Price Part Price Type' || chr(10) || 'BGN EUR' || chr(10) || string_agg(printf('%.2f', p_retailprice * 1.95583) || ' ' || p_name || ' ' || printf('%.2f', p_retailprice) || ' ' || p_type, chr(10) ORDER BY r) AS text FROM p WHERE r < 6 GROUP BY p_brand",
+    "grid_text": _CELLS + "SELECT p_brand AS ref, 'Price Part Price Type' || chr(10) || 'BGN EUR' || chr(10) || string_agg(printf('%.2f', p_retailprice * 1.95583) || ' ' || p_name || ' ' || printf('%.2f', p_retailprice) || ' ' || p_type, chr(10) ORDER BY r) AS text FROM p GROUP BY p_brand",
     "header_zones": "SELECT DISTINCT p_brand AS ref, 0 AS first, 1 AS last FROM part",
     "fee_row_join": _CELLS + ", a AS (SELECT p_brand, max(p_type) AS alias FROM part GROUP BY p_brand) SELECT p.p_brand AS program_id, r, printf('%.2f', p_retailprice) AS value FROM p JOIN a USING (p_brand) WHERE contains(p_type, alias) QUALIFY row_number() OVER (PARTITION BY p.p_brand ORDER BY r) = 1",
     "sectioned_join": """WITH l AS (SELECT user_id AS ref, event_type, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r FROM events),

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tesserix.functions.urls import host_of
+
 RECORD = T.StructType(
     [
         T.StructField("kind", T.StringType()),
@@ -102,6 +104,23 @@ def retry_schedule(status: Column, error: Column) -> Column:
     return F.coalesce(status >= 500, F.lit(False)) | F.coalesce(F.lower(error).contains("timeout") | F.lower(error).contains("timed out"), F.lit(False))
 
 
+def is_ok(status: Column, error: Column) -> Column:
+    """A fetch that brought a page: no error and a status below 400."""
+    return F.coalesce(error.isNull() & (status < 400), F.lit(False))
+
+
+def bodies_of(fetches: DataFrame, bodies: DataFrame) -> DataFrame:
+    """Fetches (sha256, ...) with their content; a digest without a body fails the job, for a miss is never a null."""
+    joined = fetches.join(bodies, "sha256", "left")
+    return joined.withColumn("content", F.when(F.col("content").isNull(), F.raise_error(F.concat(F.lit("no body for "), F.coalesce("sha256", F.lit("null"))))).otherwise(F.col("content")))
+
+
+def robots_by_host(fetches: DataFrame) -> DataFrame:
+    """(host, fetches, note, permissive): per network location the last recorded note on its robots file; without one everything is permitted."""
+    said = fetches.groupBy(host_of(F.col("url")).alias("host")).agg(F.count("*").alias("fetches"), F.max(F.when(F.col("robots").isNotNull(), F.struct("retrieved_at", "robots"))).alias("last"))
+    return said.select("host", "fetches", F.col("last.robots").alias("note"), F.coalesce(F.col("last.robots").contains("permissive"), F.lit(True)).alias("permissive"))
+
+
 def robots_allow(status: Column, error: Column) -> Column:
     """An unreachable or missing robots file permits."""
     return error.isNotNull() | status.isNull() | (status >= 400)
