@@ -48,8 +48,10 @@ def _tables() -> dict:
     pairs: dict[int, int] = {}
     mark = np.zeros(_TOP, dtype=bool)
     letter = np.zeros(_TOP, dtype=bool)
-    for cp in range(0x80, 0x20000):
+    order = np.zeros(_TOP, dtype=np.uint8)  # of combining marks
+    for cp in (*range(0x80, 0x20000), *range(0x2F800, 0x2FA20)):
         ch = chr(cp)
+        order[cp] = unicodedata.combining(ch)
         cat = unicodedata.category(ch)
         if cat in ("Cn", "Co", "Cs"):
             continue
@@ -70,10 +72,15 @@ def _tables() -> dict:
                     one[cp] = plain[0]
                 else:
                     grow[cp] = plain
+        elif (plain := tuple(map(ord, unicodedata.normalize("NFC", ch)))) != (cp,):
+            # Canonical twins: one character that stands for another, or for several that never compose to it.
+            if len(plain) == 1:
+                one[cp] = plain[0]
+            else:
+                grow[cp] = plain
         elif " " in how:
             a, b = (int(x, 16) for x in how.split())
-            if unicodedata.normalize("NFC", ch) == ch:
-                pairs[a << 21 | b] = cp
+            pairs[a << 21 | b] = cp
     for cp in range(0x41, 0x7B):
         letter[cp] = chr(cp).isalpha()
     for cp in _BLANKS:
@@ -90,14 +97,20 @@ def _tables() -> dict:
         for a, b in table.split():
             swap[LATIN][ord(b)] = ord(a)
             swap[other][ord(a)] = ord(b)
+    swap[LATIN][0x4BB] = ord("h")  # the other way would bring a letter into words that never have it
     # Greek against Cyrillic goes through the Latin letter both look like.
     for a, b in LATIN_GREEK.split():
         swap[CYRILLIC][ord(b)] = swap[CYRILLIC][ord(a)] if swap[CYRILLIC][ord(a)] != ord(a) else ord(b)
     keys = np.array(sorted(pairs), dtype=np.uint64)
+    base, part = np.zeros(_TOP, dtype=np.uint32), np.zeros(_TOP, dtype=np.uint32)
+    for k, cp in pairs.items():
+        base[cp], part[cp] = k >> 21, k & 0x1FFFFF
     odd = (one != np.arange(_TOP)) | drop | mark | np.isin(np.arange(_TOP), list(grow))
+    for first, end in ((0x1161, 0x1176), (0x11A8, 0x11C3)):  # a Hangul vowel or final may join what stands before it
+        odd[first:end] = True
     return {
         "kind": np.where(odd, np.uint8(_ODD), script),
-        "one": one, "grow": grow, "grows": np.isin(np.arange(_TOP), list(grow)), "drop": drop, "mark": mark, "letter": letter, "script": script, "swap": swap,
+        "one": one, "grow": grow, "grows": np.isin(np.arange(_TOP), list(grow)), "drop": drop, "mark": mark, "letter": letter, "order": order, "base": base, "part": part, "script": script, "swap": swap,
         "keys": keys, "composed": np.array([pairs[int(k)] for k in keys], dtype=np.uint32),
         "odd": odd,
     }
@@ -107,6 +120,76 @@ def _keep(cps, row, keep):
     return cps[keep], row[keep]
 
 
+def _drop_at(cps, row, at):
+    keep = np.ones(len(cps), dtype=bool)
+    keep[at] = False
+    return cps[keep], row[keep]
+
+
+def _ordered(cps, row, changed, t):
+    """Marks of each run in canonical order; what has no order of its own begins the next run."""
+    order = np.where(t["mark"][cps], t["order"][cps], 0).astype(np.int16)
+    if not ((order[1:] > 0) & (order[:-1] > order[1:]) & (row[1:] == row[:-1])).any():
+        return cps
+    begins = order == 0
+    begins[1:] |= row[1:] != row[:-1]
+    sort = np.lexsort((np.arange(len(cps)), order, np.cumsum(begins)))
+    changed[row[cps[sort] != cps]] = True
+    return cps[sort]
+
+
+def _compose(cps, row, changed, t):
+    """Marks in canonical order, then composed with their base, one mark of every base at a time; Hangul syllables."""
+    before_all, row_all, outer, taken = cps, row, changed, np.zeros(0, dtype=row.dtype)
+    changed = np.zeros_like(outer)
+    while t["mark"][cps].any():
+        cps = _ordered(cps, row, changed, t)
+        # A composed letter before a mark that belongs before its own is taken apart.
+        part = t["part"][cps[:-1]]
+        apart = np.flatnonzero((part > 0) & t["mark"][cps[1:]] & (row[1:] == row[:-1]))
+        apart = apart[(t["order"][cps[apart + 1]] > 0) & (t["order"][cps[apart + 1]] < t["order"][part[apart]])]
+        if not len(apart):
+            break
+        taken = np.union1d(taken, row[apart])
+        cps, row = np.insert(cps, apart + 1, part[apart]), np.insert(row, apart + 1, row[apart])
+        at = apart + np.arange(len(apart))
+        cps[at] = t["base"][cps[at]]
+    while True:
+        at = np.flatnonzero(t["mark"][cps])
+        if not len(at):
+            break
+        base = np.maximum.accumulate(np.where(t["mark"][cps], 0, np.arange(len(cps))))[at]
+        near = at - 1 == base
+        free = near | (t["order"][cps[at - 1]] > 0) & (t["order"][cps[at - 1]] < t["order"][cps[at]])
+        key = cps[base].astype(np.uint64) << np.uint64(21) | cps[at]
+        pos = np.minimum(np.searchsorted(t["keys"], key), len(t["keys"]) - 1)
+        hit = np.flatnonzero((at > 0) & (base < at) & (row[base] == row[at]) & free & (t["keys"][pos] == key))
+        if not len(hit):
+            break
+        hit = hit[np.unique(base[hit], return_index=True)[1]]
+        changed[row[at[hit]]] = True
+        cps = cps.copy()
+        cps[base[hit]] = t["composed"][pos[hit]]
+        cps, row = _drop_at(cps, row, at[hit])
+    for first, size, final in ((0x1161, 21, False), (0x11A7, 28, True)):
+        part = cps.astype(np.int64) - first
+        at = np.flatnonzero((part >= final) & (part < size))
+        at = at[at > 0]
+        at = at[row[at] == row[at - 1]]
+        before = cps[at - 1].astype(np.int64)
+        fits = (before >= 0xAC00) & (before < 0xD7A4) & ((before - 0xAC00) % 28 == 0) if final else (before >= 0x1100) & (before < 0x1113)
+        at, before = at[fits], before[fits]
+        if len(at):
+            changed[row[at]] = True
+            cps = cps.copy()
+            cps[at - 1] = before + part[at] if final else 0xAC00 + ((before - 0x1100) * 21 + part[at]) * 28
+            cps, row = _drop_at(cps, row, at)
+    for k in taken:  # few: what was taken apart may have come together again
+        changed[k] = not np.array_equal(cps[row == k], before_all[row_all == k])
+    outer |= changed
+    return cps, row
+
+
 def unify_points(cps: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(code points, starts, changed per text) of the one form."""
     t = _tables()
@@ -149,24 +232,7 @@ def unify_points(cps: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
                     out[at + k] = p
             row = np.repeat(row, size)
             cps = out
-        # Compose base and mark, one mark of every base at a time.
-        while True:
-            at = np.flatnonzero(t["mark"][cps])
-            at = at[at > 0]
-            at = at[row[at] == row[at - 1]]
-            if not len(at):
-                break
-            key = cps[at - 1].astype(np.uint64) << np.uint64(21) | cps[at]
-            pos = np.minimum(np.searchsorted(t["keys"], key), len(t["keys"]) - 1)
-            hit = t["keys"][pos] == key
-            if not hit.any():
-                break
-            changed[row[at[hit]]] = True
-            cps = cps.copy()
-            cps[at[hit] - 1] = t["composed"][pos[hit]]
-            keep = np.ones(len(cps), dtype=bool)
-            keep[at[hit]] = False
-            cps, row = _keep(cps, row, keep)
+        cps, row = _compose(cps, row, changed, t)
         script = t["script"][cps]
     clash = (script[1:] != script[:-1]) & (script[1:] > 0) & (script[:-1] > 0) & (row[1:] == row[:-1])
     if clash.any():
