@@ -34,6 +34,8 @@ from tesserix.llm.codepoints import code_points, slices
 WINDOW = 400
 #: Most labelled documents that a profile set is fitted on.
 MAX_LABELLED = 5_000
+#: Most stretches of one labelled document that they are fitted on, evenly spaced over its whole text.
+MAX_STRETCHES = 64
 #: Stretches closer than this belong to one group.
 RADIUS = 0.05
 #: A stretch further than this from every prose profile is not prose, whatever else is near.
@@ -333,17 +335,25 @@ def _struct(texts: pa.Array, profiles: dict) -> pa.StructArray:
 
 
 def profiles_from(docs: DataFrame, labels: DataFrame, common: DataFrame, max_labelled: int = MAX_LABELLED) -> dict:
-    """Fits the profiles on at most `max_labelled` labelled documents (the lowest ids by hash, so the sample is the same each time), which bounds what is broadcast.
+    """Fits the profiles on at most `max_labelled` labelled documents (the lowest ids by hash, so the sample is the same each time) and MAX_STRETCHES of each, which bounds what is broadcast and fitted.
 
-    The documents are measured where they are; only their stretches' distributions come to the driver.
+    Where a document has several labels most hold, then the least.  The documents are
+    measured where they are; only their stretches' distributions come to the driver.
+    The common words are a closed list, whole on the driver.
     """
-    sample = labels.select("doc_id", F.col("label").alias("__label")).where("__label is not null").dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
-    words = [r[0] for r in common.select("word").where("word is not null").distinct().limit(10_000).collect()]
+    votes = labels.select("doc_id", "label").where("doc_id is not null and label is not null").groupBy("doc_id", "label").agg(F.count("*").alias("n"))
+    sample = votes.groupBy("doc_id").agg(F.min_by("label", F.struct(-F.col("n"), "label")).alias("__label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
+    words = [r[0] for r in common.select("word").where("word is not null").distinct().collect()]
     table = np.sort(word_hash(sorted(set(words))))
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             owner, chars, dist = stretches(b.column(1), table)
+            held = np.bincount(owner, minlength=b.num_rows)
+            place, size = np.arange(len(owner)) - (np.cumsum(held) - held)[owner], held[owner]
+            # One where the next of MAX_STRETCHES equal parts begins.
+            kept = (size <= MAX_STRETCHES) | (place * MAX_STRETCHES // np.maximum(size, 1) != (place - 1) * MAX_STRETCHES // np.maximum(size, 1))
+            owner, chars, dist = owner[kept], chars[kept], dist[kept]
             place = pa.array(owner, pa.int64())
             flat = pa.ListArray.from_arrays(pa.array(np.arange(len(owner) + 1, dtype=np.int32) * N_FEATURES), pa.array(dist.ravel(), pa.float64()))
             yield pa.RecordBatch.from_arrays([b.column(0).take(place), b.column(2).take(place), pa.array(chars, pa.int64()), flat], names=["doc_id", "label", "chars", "dist"])

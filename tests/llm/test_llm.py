@@ -291,6 +291,18 @@ def test_mixture_is_the_greedy_queue(spark):
 # ---- statistics
 
 
+def test_label_of_several_and_long_samples(spark):
+    prose = "The fee of the course is paid by the end of the term, and the group meets in the hall."
+    docs = [(1, "\n".join(f"{prose} Week {k}." for k in range(3000))), (2, "\n".join("• Marine botany" for _ in range(40)))]
+    labels = [(1, "prose", "a"), (1, "table", "b"), (1, "prose", "c"), (2, "table", "a"), (2, "list", "b")]
+    df, lb = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, label string, annotator string")
+    words = spark.createDataFrame([("en", w, 1) for w in ("the", "of", "is", "by")], "lang string, word string, freq_rank int")
+    first, again = textstats.profiles_from(df, lb, words), textstats.profiles_from(df.repartition(3), lb.repartition(2), words)
+    assert set(first["labels"]) == {"prose", "list"} and np.allclose(first["means"], again["means"])
+    got = {r["doc_id"]: r["label"] for r in textstats.structural_profile(df, "doc_id", "text", first).collect()}
+    assert got == {1: "prose", 2: "list"}
+
+
 def test_counts_by_brute_force():
     texts = ["The cat, and 2 dogs!\nOn the mat.", "", None, "• one\n• two;\n- three", "ЕДНО две\n\nтри", "a\tb\tc"]
     common = np.sort(textstats.word_hash(["the", "and", "on"]))
