@@ -147,7 +147,8 @@ def merge_ranges(rows: DataFrame) -> DataFrame:
 
 def snapshot_changes(ledger: DataFrame) -> DataFrame:
     """(site, run_id, program_id, field, academic_year, change, old_value, new_value) of every run against the one before it."""
-    runs = run_order(ledger).withColumn("first", F.col("place") == 1)
+    # Written, so that Spark knows its size and need not shuffle the rows where it is small.
+    runs = write_once(run_order(ledger).withColumn("first", F.col("place") == 1), "runs")
     return merge_ranges(keyed_rows(ledger).join(runs, ["site", "run_id"]))
 
 
