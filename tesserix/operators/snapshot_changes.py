@@ -55,8 +55,8 @@ def _one_blank(value: Column) -> Column:
 
 
 def keyed_rows(ledger: DataFrame) -> DataFrame:
-    """(site, run_id, key..., seq, value) with keys and values in their compared form."""
-    return ledger.select(
+    """(site, run_id, key..., seq, value) with keys and values in their compared form, parsed once and written: nothing below repeats an expression of it."""
+    parsed = ledger.select(
         key_id(F.col("uni_id")).alias("site"),
         F.trim("run_id").alias("run_id"),
         key_id(F.col("program_id")).alias("program_id"),
@@ -64,12 +64,13 @@ def keyed_rows(ledger: DataFrame) -> DataFrame:
         year_key(F.col("academic_year")).alias("academic_year"),
         F.col("ledger_seq").cast("long").alias("seq"),
         _one_blank(F.col("value")).alias("value"),
-    ).dropna(subset=["site", "run_id", *KEY])
+    )
+    return write_once(parsed, "keyed")
 
 
-def run_order(ledger: DataFrame) -> DataFrame:
-    """(site, run_id, place, next_run): the runs of each site in order of the time in their ids; one row a run."""
-    runs = ledger.select(key_id(F.col("uni_id")).alias("site"), F.trim("run_id").alias("run_id")).dropna().distinct()
+def run_order(rows: DataFrame) -> DataFrame:
+    """(site, run_id, place, next_run) of rows (site, run_id, ...): the runs of each site in order of the time in their ids; one row a run."""
+    runs = rows.select("site", "run_id").dropna().distinct()
     order = Window.partitionBy("site").orderBy(F.when(run_time(F.col("run_id")) == "", "~").otherwise(run_time(F.col("run_id"))), "run_id")
     return runs.select("site", "run_id", F.row_number().over(order).alias("place"), F.lead("run_id").over(order).alias("next_run"))
 
@@ -141,15 +142,16 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def merge_ranges(rows: DataFrame) -> DataFrame:
     """Changes of rows (site, place, run_id, next_run, first, key..., seq, value); `first` marks a run with none before it."""
-    sorted_ranges = rows.repartitionByRange("site", *KEY).sortWithinPartitions("site", "place", *KEY, "seq")
+    sorted_ranges = rows.dropna(subset=list(KEY)).repartitionByRange("site", *KEY).sortWithinPartitions("site", "place", *KEY, "seq")
     return sorted_ranges.select("site", "place", "run_id", "next_run", "first", *KEY, "value").mapInArrow(_merge, CHANGES)
 
 
 def snapshot_changes(ledger: DataFrame) -> DataFrame:
     """(site, run_id, program_id, field, academic_year, change, old_value, new_value) of every run against the one before it."""
+    rows = keyed_rows(ledger)
     # Written, so that Spark knows its size and need not shuffle the rows where it is small.
-    runs = write_once(run_order(ledger).withColumn("first", F.col("place") == 1), "runs")
-    return merge_ranges(keyed_rows(ledger).join(runs, ["site", "run_id"]))
+    runs = write_once(run_order(rows).withColumn("first", F.col("place") == 1), "runs")
+    return merge_ranges(rows.join(runs, ["site", "run_id"]))
 
 
 class SnapshotStore:
@@ -182,12 +184,12 @@ class SnapshotStore:
         stamp = lambda c: F.struct(F.when(run_time(c) == "", "~").otherwise(run_time(c)), c)
         rows = keyed_rows(ledger).join(last, "site", "left")
         rows = rows.where(F.col("kept_run").isNull() | (stamp(F.col("run_id")) > stamp(F.col("kept_run")))).drop("kept_run")
-        runs = run_order(rows.withColumnRenamed("site", "uni_id")).join(last, "site", "left")
+        runs = run_order(rows).join(last, "site", "left")
         runs = write_once(runs.withColumn("first", (F.col("place") == 1) & F.col("kept_run").isNull()), "runs")
         known = runs.where("place = 1 and kept_run is not null").select("site", F.col("kept_run").alias("run_id"), F.lit(0).alias("place"), F.col("run_id").alias("next_run"), F.lit(True).alias("first"))
         new = rows.join(runs.drop("kept_run"), ["site", "run_id"])
         changes = write_once(merge_ranges(new.unionByName(kept.join(known, ["site", "run_id"]))), "changes")
-        latest = rows.join(runs.where("next_run is null").select("site", "run_id"), ["site", "run_id"]).groupBy("site", "run_id", *KEY).agg(F.max(F.struct("seq", "value")).alias("last"))
+        latest = rows.dropna(subset=list(KEY)).join(runs.where("next_run is null").select("site", "run_id"), ["site", "run_id"]).groupBy("site", "run_id", *KEY).agg(F.max(F.struct("seq", "value")).alias("last"))
         latest = latest.select("site", "run_id", *KEY, "last.seq", "last.value").unionByName(kept.join(runs.select("site").distinct(), "site", "left_anti"))
         latest.repartitionByRange("site", *KEY).sortWithinPartitions("site", *KEY).write.mode("overwrite").parquet(f"{self.path}/newest-{self.version + 1}")
         self.version += 1
