@@ -364,19 +364,26 @@ def event_means(spark, sf):
 
 
 def second_reading(spark, sf):
-    """Cells the ledger leaves empty, read again by a canned adapter that copies the page's first line."""
-    cells = resolve.candidate_documents(table(spark, sf, "programs"), ["degree"], resolve.latest_artifacts(_artifacts(spark, sf)))
+    """Cells the ledger leaves empty, read again by a canned adapter: it copies the page's first line, without evidence until it is asked again."""
+    cells = resolve.candidate_documents(table(spark, sf, "programs"), FIELDS, resolve.latest_artifacts(_artifacts(spark, sf)))
+    filled = table(spark, sf, "ledger").where("value is not null").select(key_id(F.col("program_id")).alias("program_id"), key_id(F.col("field")).alias("field")).distinct()
     texts = _artifacts(spark, sf).select("artifact_id", F.col("artifact_id").cast("string").alias("ref"), "text")
-    docs = cells.join(texts, "artifact_id").groupBy("program_id", "field").agg(F.array_sort(F.collect_list(F.struct("ref", "text"))).alias("documents"))
+    docs = cells.join(filled, ["program_id", "field"], "left_anti").join(texts, "artifact_id").groupBy("program_id", "field").agg(F.array_sort(F.collect_list(F.struct("ref", "text"))).alias("documents"))
 
     def make():
         def call(prompt, model, tag):
             head, _, rest = prompt.partition("\n\n[")[2].partition("]\n")
-            return {"value": rest.split("\n", 1)[0] or None, "segments": [], "ref": head}
+            line = rest.split("\n", 1)[0]
+            return {"value": line or None, "segments": [line] if "refused" in prompt else [], "ref": head}
 
         return call
 
-    return tail.read_cells(docs, make, lambda a: ("NULL_OK", "") if a.get("value") is None else ("PASS", ""))
+    def check(answer):
+        if answer.get("value") is None:
+            return gate.NULL_OK, ""
+        return (gate.PASS, "") if answer["segments"] else (gate.CONTAINMENT, "no evidence was copied")
+
+    return tail.read_cells(docs, make, check)
 
 
 QUERIES = (
